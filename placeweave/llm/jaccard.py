@@ -8,7 +8,8 @@ threshold with any other, and needs no more work.
 
 Equal sets become one class. Classes that share an n-gram of their prefixes are
 candidates; a candidate pair's overlap is counted in each fragment separately and summed.
-First each prefix n-gram's classes are compared with one of them only; what that links is a
+First each prefix n-gram's classes are compared with one of them only, the one with the
+fewest n-grams that no other document has; what that links is a
 component, and pairs within a component are never made. Then all other pairs that pass the
 length and position filters are compared, so that no link between components is lost.
 """
@@ -265,9 +266,11 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     classes = written(classes, "classes")
     able = classes.where("prefix IS NOT NULL")
 
-    grams = able.select("nid", "n", F.posexplode("prefix").alias("pos", "gram"), "skip").select("gram", "nid", "n", (F.col("skip") + F.col("pos")).alias("pos"))
-    many = grams.groupBy("gram").agg(F.count("*").alias("classes"), F.min_by(F.struct("nid", "n", "pos"), "nid").alias("c")).where("classes > 1")
-    grams = written(grams.join(many.select("gram", "c"), "gram"), "grams")
+    grams = able.select("nid", "n", "skip", F.posexplode("prefix").alias("pos", "gram"))
+    grams = grams.select("gram", "nid", "n", "skip", (F.col("skip") + F.col("pos")).alias("pos"))
+    # the class with the fewest n-grams of its own is the likeliest source of the others
+    many = grams.groupBy("gram").agg(F.count("*").alias("classes"), F.min_by(F.struct("nid", "n", "pos"), F.struct("skip", "nid")).alias("c")).where("classes > 1")
+    grams = written(grams.join(many.select("gram", "c"), "gram").drop("skip"), "grams")
 
     def passes(n, m, i, j):
         most = 1 + F.least(n - i - 1, m - j - 1)
@@ -275,7 +278,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
 
     col = F.col
     stars = grams.where((col("nid") != col("c.nid")) & passes(col("n"), col("c.n"), col("pos"), col("c.pos")))
-    stars = written(stars.select(col("c.nid").alias("x"), col("nid").alias("y")).distinct(), "stars")
+    stars = written(stars.select(F.least("c.nid", "nid").alias("x"), F.greatest("c.nid", "nid").alias("y")).distinct(), "stars")
     edges = written(_links(stars, able, percent), "links")
     labels = components(edges)
     placed = grams.join(labels, "nid", "left").withColumn("label", F.coalesce("label", "nid"))
