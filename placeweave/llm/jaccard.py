@@ -111,7 +111,7 @@ def _dealt(docs: DataFrame, words: int, bits: int) -> DataFrame:
     return id_text(docs).mapInArrow(run, DEALT_SQL)
 
 
-def _count(t: pa.Table) -> pa.Table:
+def _count(t: pa.Table, bits: int) -> pa.Table:
     """One fragment: keep n-grams of two documents and more, with their number of documents."""
     frag = t.column("frag")[0].as_py()
     if frag < 0:
@@ -127,6 +127,7 @@ def _count(t: pa.Table) -> pa.Table:
     times = np.diff(np.concatenate((first, [len(k)])))
     df = np.empty(len(k), np.uint32)
     df[order] = np.repeat(times, times)
+    keys = (np.uint64(frag) << np.uint64(64 - bits)) | (keys >> np.uint64(bits))
     out: list[list] = [[], [], [], []]
     at = 0
     for b, d in zip(batches, docs, strict=True):
@@ -254,7 +255,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     doc_id stays null and never names a component that has others.
     """
     bits = _fragments(docs).bit_length() - 1
-    counted = written(_dealt(docs, words, bits).groupBy("frag").applyInArrow(_count, COUNTED_SQL), "counted")
+    counted = written(_dealt(docs, words, bits).groupBy("frag").applyInArrow(lambda t: _count(t, bits), COUNTED_SQL), "counted")
     sets = written(counted.groupBy("batch").applyInArrow(_sets(bits, percent), SETS_SQL), "sets")
     discard(counted)
     some = sets.where("n > 0")
