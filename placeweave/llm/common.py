@@ -66,3 +66,15 @@ def crc_mod(n: int, id_col: str = "doc_id"):
 
 def tasks_of(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def in_slices(texts: list[str], most_chars: int = 2_000_000):
+    """Ranges (start, stop) of texts with at most so many characters, or one text."""
+    start = 0
+    while start < len(texts):
+        stop, chars = start, 0
+        while stop < len(texts) and (stop == start or chars + len(texts[stop]) <= most_chars):
+            chars += len(texts[stop])
+            stop += 1
+        yield start, stop
+        start = stop

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import id_text, in_slices
 from .words import HashIndex, first_eight, hashes, joined, spans
 
 THRESHOLD = 0.8
@@ -89,6 +89,14 @@ def _word_places(texts: list[bytes], t: Templates):
     return buf, at, starts, ends, t.index.get(hashes(buf, starts, ends), first_eight(buf, starts, ends))
 
 
+def sliced(batches):
+    """ids and texts of the batches in slices of bounded size."""
+    for b in batches:
+        every = b.column(1).to_pylist()
+        for low, high in in_slices(every):
+            yield b.column(0)[low:high], every[low:high]
+
+
 def template_counts(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> dict[str, int]:
     """How often each word of the templates stands in all documents (one number a word reaches the driver)."""
 
@@ -96,8 +104,10 @@ def template_counts(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
         t = Templates(templates, threshold)
         total = np.zeros(len(t.words) + 1, np.int64)
         for b in batches:
-            *_, which = _word_places([x.encode("utf-8", "replace").translate(FOLD) for x in b.column(0).to_pylist()], t)
-            total += np.bincount(which + 1, minlength=len(total))
+            every = b.column(0).to_pylist()
+            for low, high in in_slices(every):
+                *_, which = _word_places([x.encode("utf-8", "replace").translate(FOLD) for x in every[low:high]], t)
+                total += np.bincount(which + 1, minlength=len(total))
         yield pa.record_batch([pa.array(t.words, pa.string()), pa.array(total[1:], pa.int64())], names=["word", "n"])
 
     rows = id_text(docs).select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n")).collect()
@@ -120,8 +130,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
 
     def run(batches):
         t = Templates(templates, threshold, counts)
-        for b in batches:
-            texts = [x.encode("utf-8", "replace").translate(FOLD) for x in b.column(1).to_pylist()]
+        for ids, texts in sliced(batches):
+            texts = [x.encode("utf-8", "replace").translate(FOLD) for x in texts]
             buf, at, starts, ends, which = _word_places(texts, t)
             first = np.searchsorted(starts, at)
             breaks = np.flatnonzero(buf == 10)
@@ -146,7 +156,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
                 out.append((int(first[k + 1] - first[k]), len(places), min((i for i, _ in places), default=None), max((i for i, _ in places), default=None), ",".join(own), ",".join(sorted({*own, *(m["label"] for m in more)})), score, more))
             cols = list(zip(*out, strict=True)) or [[]] * 8
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), BLOCKS]
-            yield pa.record_batch([b.column(0), *(pa.array(c, kind) for c, kind in zip(cols, kinds, strict=True))], names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"])
+            yield pa.record_batch([ids, *(pa.array(c, kind) for c, kind in zip(cols, kinds, strict=True))], names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, blocks array<struct<line: long, label: string, share: double>>")
 

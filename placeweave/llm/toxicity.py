@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, id_text, written
+from .common import crc_mod, id_text, in_slices, written
 from .words import HashIndex, first_eight, hashes, joined, mix, spans
 
 MAX_TRAIN = 8000
@@ -32,6 +32,8 @@ SEPARATORS = " .-_*~/,'\"^"
 SWAP, SKIP_SEPARATOR, SKIP_REPEAT, KEEP_SIGN = 1.0, 0.3, 0.4, 6.0
 
 WORD_BYTE = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
+#: Signs that stand for letters; of those beyond ASCII the last byte.
+SIGN_BYTE = np.isin(np.arange(256), [c.encode()[-1] for c in LOOKALIKES])
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _sign = re.escape("".join(LOOKALIKES))
 #: Letters and look-alike signs mixed; three of one letter in a row; letters one by one.
@@ -91,6 +93,20 @@ def fold(text: str) -> bytes:
     return (text if text.isascii() else text.lower()).encode("utf-8", "replace").translate(FOLD)
 
 
+def suspects(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which texts of a joined buffer may hold a suspicious token; the others are not searched."""
+    letter, sign = WORD_BYTE[buf], SIGN_BYTE[buf]
+    where = [np.flatnonzero(sign[:-1] & letter[1:])]
+    where.append(np.flatnonzero(letter[2:] & (buf[2:] == buf[1:-1]) & (buf[1:-1] == buf[:-2])))
+    where.append(np.flatnonzero((buf[4:] >= 128) & (buf[4:] == buf[2:-2]) & (buf[2:-2] == buf[:-4])))  # two bytes a letter
+    starts, ends = spans(letter)
+    single = starts[(ends - starts == 1) | ((ends - starts == 2) & (buf[starts] >= 0xC2))]
+    where.append(single[:-2][single[2:] - single[:-2] <= 12] if len(single) > 2 else single[:0])
+    out = np.zeros(len(at) - 1, bool)
+    out[np.searchsorted(at, np.concatenate(where), "right") - 1] = True
+    return out
+
+
 def restored_words(text: str, model: CharModel) -> list[str]:
     """What the suspicious tokens of a text most likely say."""
     return [w for m in SUSPICIOUS.finditer(text) if (w := restore(m[0].strip(), model)) and w != m[0].lower()]
@@ -117,17 +133,17 @@ class Model:
         return index, np.array([number[w] for w in whole], np.int64), starts
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        seen = [np.unique(f) for f in features_of(texts, self)]
-        z = np.array([self.weights[f].sum() for f in seen]) + self.bias
+        seen = [np.unique(f) for a, z in in_slices(texts) for f in features_of(texts[a:z], self)]
+        z = np.array([self.weights[f].sum() for f in seen], float) + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
 def features_of(texts: list[str], m: Model) -> list[np.ndarray]:
     """Numbers of the model's features in each text, restored words included."""
-    raw = []
-    for t in texts:
-        more = restored_words(t, m.chars) if t else []
-        raw.append(fold(t) + (b"\n" + fold(" ".join(more)) if more else b""))
+    raw = [fold(t) for t in texts]
+    for k in np.flatnonzero(suspects(*joined(raw))).tolist():
+        if more := restored_words(texts[k], m.chars):
+            raw[k] += b"\n" + fold(" ".join(more))
     buf, at = joined(raw)
     starts, ends = spans(WORD_BYTE[buf])
     index, numbers, beginnings = m.lookup
@@ -200,7 +216,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Mode
 
     def numbers(batches):
         for b in batches:
-            got = features_of(b.column(1).to_pylist(), model)
+            texts = b.column(1).to_pylist()
+            got = [f for a, z in in_slices(texts) for f in features_of(texts[a:z], model)]
             yield pa.record_batch([b.column(2), pa.array([np.unique(g) for g in got], pa.list_(pa.int64()))], names=["toxic", "at"])
 
     got = rows.select("doc_id", "text", F.col("toxic").cast("int")).mapInArrow(numbers, "toxic int, at array<long>").groupBy("toxic", "at").count().orderBy("toxic", "at").toArrow()
