@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .config import AnchorConfig, GraphConfig, JobConfig, PairConfig, VisitConfig
 from .operators import assign, clean, community, edges, geo, keywords, pairs, regional, report, results, visits
 from .plans import jobs
+from .sources.tables import shared_table
 from .plans.planted import COORDS_SQL, EDGES_SQL, PAIRS_SQL, TX_SQL, VISITS_SQL, table, transactions, with_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,12 +52,13 @@ def _pairs(spark, sf_dir):
 
 
 def _candidates(spark, sf_dir):
-    return edges.candidates(_pairs(spark, sf_dir), GRAPH)
+    stats = shared_table(_pairs(spark, sf_dir), "pairs")  # read several times below
+    return shared_table(edges.candidates(stats, GRAPH), "candidates")
 
 
 def _edges(spark, sf_dir):
     c = _candidates(spark, sf_dir).withColumn("weight", F.round("weight", 9))
-    return edges.mutual_top_k(c, GRAPH.top_k)
+    return shared_table(edges.mutual_top_k(c, GRAPH.top_k), "edges")
 
 
 def _nodes(spark, sf_dir):

@@ -54,7 +54,7 @@ def suspect_online(edges: DataFrame, coords: DataFrame, min_neighbours: int, dis
     near = both_ways(edges.where("weight > 0")).join(coords.select(F.col("merchant_id").alias("node")), "node", "left_anti")
     placed = near.join(coords.toDF("other", "lon", "lat"), "other")
     many = placed.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") >= min_neighbours)
-    placed = placed.join(many, "node", "left_semi")
+    placed = placed.join(many, "node", "left_semi").select("other", "node", "lon", "lat")
     a, b = placed.toDF("oa", "node", "lon_a", "lat_a"), placed.toDF("ob", "node", "lon_b", "lat_b")
     far = haversine_m(F.col("lon_a"), F.col("lat_a"), F.col("lon_b"), F.col("lat_b")) > distance_m
     return a.join(b, "node").where((F.col("oa") < F.col("ob")) & far).select(F.col("node").alias("merchant_id")).distinct()

@@ -47,7 +47,7 @@ def coverage(pairs: DataFrame, assigned: DataFrame, min_support: int) -> DataFra
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """One row: count, min, nearest-rank quantiles, max, mean."""
-    q = [F.expr(f"percentile_disc({v}) WITHIN GROUP (ORDER BY `{column}`)").alias(k) for k, v in QUANTILES.items()]
+    q = [F.expr(f"percentile_disc({v}) WITHIN GROUP (ORDER BY `{column}`)").cast(df.schema[column].dataType).alias(k) for k, v in QUANTILES.items()]
     return df.agg(F.count(column).alias("count"), F.min(column).alias("min"), *q, F.max(column).alias("max"), F.avg(column).alias("mean"))
 
 
