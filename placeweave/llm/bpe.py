@@ -302,7 +302,7 @@ def encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
 
 
-def encoded(batches, path: str, most_chars: int = 4_000_000):
+def encoded(batches, path: str, most_chars: int = 2_000_000):
     """Of Arrow batches with doc_id and text: (doc ids, ids, offsets), at most about most_chars at once."""
     enc = encoder(path)
     for batch in batches:

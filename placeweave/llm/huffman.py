@@ -27,7 +27,7 @@ from .common import discard, id_text, new_path, tasks_of, written
 LIMIT = 16
 STRIDE = 256
 MAGIC = 0x48554631
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:

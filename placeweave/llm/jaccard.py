@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import discard, id_text, written
 from .words import SPACE, hashes, joined, mix, spans
 
-FRAGMENT_BYTES = 1 << 20
-BATCH_CHARS, BATCH_DOCS = 6_000_000, 4000
+FRAGMENT_BYTES = 4 << 20
+BATCH_CHARS, BATCH_DOCS = 1_500_000, 4000
 #: Keys of one fragment that a task counts overlaps in.
 COUNT_KEYS = 4_000_000
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
