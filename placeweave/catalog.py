@@ -548,13 +548,13 @@ def d1_initial_job(spark, sf_dir):
 
 @query(
     """, known AS (SELECT DISTINCT merchant_id, business_district AS community_id FROM tx WHERE business_district <> ''),
-    near AS (SELECT a.merchant_id, b.community_id, row_number() OVER (PARTITION BY a.merchant_id ORDER BY """
+    placed_near AS (SELECT a.merchant_id, b.community_id, row_number() OVER (PARTITION BY a.merchant_id ORDER BY """
     + HAVERSINE_SQL
     + """, b.community_id, b.merchant_id) AS n FROM coords a JOIN (SELECT c.*, k.community_id FROM coords c JOIN known k USING (merchant_id)) b ON """
     + HAVERSINE_SQL
     + """ <= 3000 WHERE a.merchant_id NOT IN (SELECT merchant_id FROM known)),
     linked AS (SELECT x.node AS merchant_id, k.community_id, row_number() OVER (PARTITION BY x.node ORDER BY round(x.weight, 9) DESC, k.community_id, x.other) AS n FROM eb2 x JOIN known k ON k.merchant_id = x.other WHERE x.node NOT IN (SELECT merchant_id FROM known) AND x.node NOT IN (SELECT merchant_id FROM coords)),
-    got AS (SELECT merchant_id, community_id FROM near WHERE n = 1 UNION ALL SELECT merchant_id, community_id FROM linked WHERE n = 1)
+    got AS (SELECT merchant_id, community_id FROM placed_near WHERE n = 1 UNION ALL SELECT merchant_id, community_id FROM linked WHERE n = 1)
     SELECT c.merchant_id, coalesce(k.community_id, g.community_id, '') AS community_id FROM (SELECT DISTINCT merchant_id FROM tx) c LEFT JOIN known k USING (merchant_id) LEFT JOIN got g USING (merchant_id)""",
     *EDGES,
     COORDS_SQL,
