@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-CURVES = 10
+CURVES = 14
 DIMENSIONS, BITS = 10, 6
-RANGE = 1536
+RANGE = 2048
 SAMPLE = 4096
 
 
