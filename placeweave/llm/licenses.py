@@ -1,15 +1,17 @@
-"""License scans: base phrases, and an exact set-similarity join of text blocks with license templates.
-
-A block is a line of a text; its set holds its distinct words. A template's tokens are put
-in the order of their frequency over all documents, rarest first. A block can hold a share
-of at least THRESHOLD of a template only if it has one of the template's first
-(size - needed + 1) tokens (prefix), has at least the needed number of words (length), and
-what stands in the template from the first token it has is enough (position). All blocks
-that pass are counted exactly.
+"""License scans: base phrases, and an exact containment join of word windows with license templates.
+
+A block is a window of consecutive words of a text, whatever its lines: for a template of n
+words, ceil(n / THRESHOLD) of them, so that a notice with some words put in still fits. A
+template's tokens are put in the order of their frequency over all documents, rarest first.
+A window can hold a share of at least THRESHOLD of a template's distinct words only if it
+has one of the first (size - needed + 1) tokens (prefix). Only words within a window's
+length of such a token are looked at, and there every window's distinct tokens are counted
+exactly.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 
 import numpy as np
@@ -57,18 +59,67 @@ class Templates:
         order = sorted(range(len(self.words)), key=lambda k: (counts.get(self.words[k], 0), self.words[k]))
         self.rank = np.empty(len(order), np.int64)
         self.rank[order] = np.arange(len(order))
-        self.sets, self.prefix = [], {}
+        self.sets, self.prefix, self.widths = [], {}, []
         for label, t in templates:
             tokens = sorted({number[w] for w in t.split()}, key=lambda k: self.rank[k])
             need = math.ceil(threshold * len(tokens) - 1e-9)
             for place, k in enumerate(tokens[: len(tokens) - need + 1]):
                 self.prefix.setdefault(k, []).append((len(self.sets), place))
             self.sets.append((label, frozenset(tokens), need))
-        self.in_prefix = np.zeros(len(self.words), bool)
-        self.in_prefix[list(self.prefix)] = True
+            self.widths.append(math.ceil(len(t.split()) / threshold - 1e-9))
+        # by template and word; the last column is that of words in no template (-1)
+        self.member, self.early = np.zeros((2, len(self.sets), len(self.words) + 1), bool)
+        for at, (_, tokens, _) in enumerate(self.sets):
+            self.member[at, list(tokens)] = True
+        for k, places in self.prefix.items():
+            self.early[[at for at, _ in places], k] = True
+
+    def windows(self, which: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, str, float]]:
+        """(text, first word, last word, label, share) of all windows that meet the threshold, of a label's that overlap the fullest.
+
+        which: the word number, or -1, of every word of all texts; first: where each text's words begin, and the end.
+        """
+        out = []
+        known = np.flatnonzero(which >= 0)
+        named = which[known]
+        for at, (label, tokens, need) in enumerate(self.sets):
+            width = self.widths[at]
+            rare = known[self.early[at][named]]
+            if not len(rare):
+                continue
+            mine = self.member[at][named]
+            places, words = known[mine], named[mine]
+            after = np.searchsorted(rare, places)
+            near = (rare[np.minimum(after, len(rare) - 1)] - places < width) & (after < len(rare))
+            near |= (places - rare[np.maximum(after - 1, 0)] < width) & (after > 0)
+            places, words = places[near], words[near]
+            # an occurrence counts in the windows that end from it on, until the word comes again or it is left behind
+            until = places + width
+            order = np.argsort(words, kind="stable")
+            again = np.flatnonzero(words[order][1:] == words[order][:-1])
+            until[order[again]] = np.minimum(until[order[again]], places[order[again + 1]])
+            doc = np.searchsorted(first, places, "right") - 1
+            until = np.minimum(until, first[doc + 1])
+            held = np.arange(1, len(places) + 1) - np.searchsorted(np.sort(until), places, "right")
+            hot = np.flatnonzero(held >= need)
+            if not len(hot):
+                continue
+            apart = (np.diff(places[hot]) >= width) | (np.diff(doc[hot]) != 0)
+            for stretch in np.split(hot, np.flatnonzero(apart) + 1):
+                low = max(places[stretch[0]] - width + 1, first[doc[stretch[0]]])
+                a, z = np.searchsorted(places, low), stretch[-1] + 1
+                for start, end, share in _best_windows(places[a:z].tolist(), words[a:z].tolist(), len(tokens), need, width):
+                    out.append((int(doc[stretch[0]]), start, end, label, share))
+        kept: dict[tuple[int, str], list] = {}
+        for w in sorted(out, key=lambda w: (-w[4], w)):  # a label's templates may share words of one place
+            near = kept.setdefault((w[0], w[3]), [])
+            k = bisect.bisect(near, w)
+            if not (k and near[k - 1][2] >= w[1]) and not (k < len(near) and near[k][1] <= w[2]):
+                near.insert(k, w)
+        return sorted(w for near in kept.values() for w in near)
 
     def matches(self, block: set[int], size: int) -> dict[str, float]:
-        """Labels whose template the block holds to the threshold, with the share; size: its distinct words."""
+        """Labels whose template one block holds to the threshold, with the share; size: its distinct words."""
         out: dict[str, float] = {}
         seen: set[int] = set()
         for k in sorted(block, key=lambda k: self.rank[k]):
@@ -83,6 +134,30 @@ class Templates:
         return out
 
 
+def _best_windows(places: list[int], words: list[int], size: int, need: int, width: int) -> list[tuple[int, int, float]]:
+    """First word, last word and share of windows one after another, each fuller than those after it that overlap it, so the fullest of all is among them."""
+    out, i = [], 0
+    while i < len(places):
+        last: dict[int, int] = {}
+        best, stop = None, None
+        while i < len(places) and (stop is None or places[i] < stop):
+            last.pop(words[i], None)
+            last[words[i]] = places[i]  # in order of place, so the first is the oldest
+            while places[i] - (oldest := next(iter(last.items())))[1] >= width:
+                del last[oldest[0]]
+            if len(last) >= need and (best is None or len(last) > best[0]):
+                best = len(last), oldest[1], places[i], i
+                stop = places[i] + width
+                if len(last) == size:
+                    break
+            i += 1
+        if best is None:
+            break
+        out.append((best[1], best[2], best[0] / size))
+        i = best[3] + 1
+    return out
+
+
 def _word_places(texts: list[bytes], t: Templates):
     buf, at = joined(texts)
     starts, ends = spans(IN_WORD[buf])
@@ -115,11 +190,11 @@ def template_counts(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """Per document: word count, places of base phrases, labels, best score and matching lines.
+    """Per document: word count, places of base phrases, labels, best score and matching windows.
 
     Null or empty text: no words, labels '' and score 0. A base phrase scores 1. Repeated
-    rows each have their result. blocks: (line, label, share) of every block that meets the
-    threshold.
+    rows each have their result. blocks: (line of the first word, label, share) of every
+    window that meets the threshold, of a label's that overlap the fullest.
     """
     counts = template_counts(docs, templates, threshold)
     wanted = [(p.encode().split(), label) for p, label in phrases.items()]
@@ -135,18 +210,10 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
             buf, at, starts, ends, which = _word_places(texts, t)
             first = np.searchsorted(starts, at)
             breaks = np.flatnonzero(buf == 10)
-            hits = np.flatnonzero((which >= 0) & t.in_prefix[which])
             found: dict[int, list] = {}
-            docs_of = np.searchsorted(at, starts[hits], "right") - 1
-            for doc, line in dict.fromkeys(zip(docs_of.tolist(), np.searchsorted(breaks, starts[hits]).tolist(), strict=True)):
-                low = max(int(at[doc]), int(breaks[line - 1]) + 1 if line else 0)
-                high = min(int(at[doc + 1]), int(breaks[line]) if line < len(breaks) else len(buf))
-                a, z = np.searchsorted(starts, [low, high])
-                block = {k for k in which[a:z].tolist() if k >= 0}
-                size = len({buf[s:e].tobytes() for s, e in zip(starts[a:z], ends[a:z], strict=True)}) if len(block) > 1 else len(block)
-                for label, share in t.matches(block, size).items():
-                    number = line - int(np.searchsorted(breaks, at[doc]))
-                    found.setdefault(doc, []).append({"line": number, "label": label, "share": share})
+            for doc, a, _, label, share in t.windows(which, first):
+                line = int(np.searchsorted(breaks, starts[a]) - np.searchsorted(breaks, at[doc]))
+                found.setdefault(doc, []).append({"line": line, "label": label, "share": share})
             out = []
             for k, x in enumerate(texts):
                 places = base(x.split()) if any(w in x for w in keys) else []

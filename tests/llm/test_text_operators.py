@@ -202,6 +202,45 @@ def test_containment_is_brute_force():
         assert t.matches(block, len(block)) == dict(want)
 
 
+def test_licenses_across_lines(spark):
+    long = [(label, t) for label, t in licenses.TEMPLATES if len(t.split()) >= 16]
+    texts = [" * " + "\n * ".join(re.findall(r".{1,40}(?:\s|$)", t)) for _, t in long]
+    texts += ["released " + "word " * 50 + "under " + "word " * 50 + "the " + "word " * 50 + "license", "Released under\nthe MIT\nLicense\nx\nreleased under the MIT license", "Licensed under CC BY-NC 4.0."]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [(label, got[i].score) for i, (label, _) in enumerate(long) if label in got[i].labels.split(",")] == [(label, 1.0) for label, _ in long]
+    assert got[len(long)].labels == "" and [(b.line, b.label, b.share) for b in got[len(long) + 1].blocks] == [(0, "mit", 1.0), (4, "mit", 1.0)]
+    assert [(b.line, b.label, b.share) for b in got[len(long) + 2].blocks] == [(0, "cc", 1.0)]
+
+
+def test_license_windows_are_brute_force():
+    rng = np.random.default_rng(6)
+    t = licenses.Templates(licenses.TEMPLATES, 0.8)
+    for _ in range(60):
+        texts = []
+        for _ in range(3):
+            words = rng.integers(-1, len(t.words), 30).tolist()
+            for k in rng.integers(0, len(t.sets), 2):
+                own = [t.words.index(w) for w in licenses.TEMPLATES[k][1].split()]
+                for at in rng.integers(0, len(own), rng.integers(0, 6)):
+                    own[at] = -1
+                words[int(rng.integers(0, 30)) : 0] = own + own[: int(rng.integers(0, len(own)))]
+            texts.append(words)
+        first = np.cumsum([0, *map(len, texts)])
+        got = t.windows(np.concatenate(texts), first)
+        want = collections.defaultdict(float)
+        for d, words in enumerate(texts):
+            for (label, s, need), width in zip(t.sets, t.widths, strict=True):
+                most = max(len(s & set(words[i : i + width])) for i in range(len(words)))
+                if most >= need:
+                    want[d, label] = max(want[d, label], most / len(s))
+        best = collections.defaultdict(float)
+        for d, a, z, label, share in got:
+            inside = set(texts[d][a - first[d] : z + 1 - first[d]])
+            assert any(name == label and z - a < width and len(s & inside) / len(s) == share for (name, s, _), width in zip(t.sets, t.widths, strict=True))
+            best[d, label] = max(best[d, label], share)
+        assert best == want
+
+
 def test_language(spark, empty):
     rng = np.random.default_rng(1)
     other = "und der nicht über schön straße grün wasser haus".split()
