@@ -1,10 +1,11 @@
 """Toxicity with noisy-channel deobfuscation.
 
-Suspicious tokens (letters mixed with look-alike signs, letters spaced out, letters
+Suspicious tokens (letters mixed with look-alike signs, characters spaced out, letters
 repeated) become lattices of characters: a sign may stand for a letter, a repeated letter
-for one, a separator for nothing, each at a price. Viterbi decoding under a character
-bigram model restores the likeliest word. Restored and plain words then feed a logistic
-model on log odds of words and word beginnings, learned from at most MAX_TRAIN labelled rows.
+for one, a separator for nothing or for the end of a word, each at a price. Viterbi decoding
+under a character bigram model and the learned words restores the likeliest words. Restored
+and plain words then feed a logistic model on log odds of words and word beginnings, learned
+from at most MAX_TRAIN labelled rows.
 """
 
 from __future__ import annotations
@@ -28,26 +29,32 @@ BEGINNINGS = (4, 5, 6, 7)
 SURPRISE = 16.0
 #: Signs and the letters that they may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou"}
-SEPARATORS = " .-_*~/,'\"^"
-SWAP, SKIP_SEPARATOR, SKIP_REPEAT, KEEP_SIGN = 1.0, 0.3, 0.4, 6.0
+SEPARATORS = " .-_*~/,'\"^\n\r\t\v\f"
+SWAP, SKIP_SEPARATOR, SKIP_REPEAT, KEEP_SIGN, END_WORD, LEARNED = 1.0, 0.3, 0.4, 6.0, 1.0, 0.5
 
 WORD_BYTE = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
 #: Signs that stand for letters; of those beyond ASCII the last byte.
 SIGN_BYTE = np.isin(np.arange(256), [c.encode()[-1] for c in LOOKALIKES])
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _sign = re.escape("".join(LOOKALIKES))
-#: Letters and look-alike signs mixed; three of one letter in a row; letters one by one.
-SUSPICIOUS = re.compile(
-    rf"(?<!\S)(?:[{_sign}]*[^\W\d_]+[{_sign}]+[^\W\d_]|[{_sign}]+[^\W\d_]{{2}})\S{{0,40}}|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*|(?<!\w)[^\W_](?:[ .\-_*~/]{{1,2}}[^\W_]){{3,30}}(?!\w)",
-)
+_single = rf"(?:[^\W_]|[{_sign.replace(re.escape('*'), '')}])"
+#: A run of letters and look-alike signs with at least one sign; three of one letter in a row; characters one by one.
+MIXED = re.compile(rf"(?<![^\W_{_sign}])(?<![{_sign}])[^\W\d_]*+[{_sign}](?:[^\W_]|[{_sign}])*+")
+REPEATED = re.compile(r"([^\W\d_])\1\1")
+SPACED = re.compile(rf"(?<!{_single}){_single}(?:[{re.escape(SEPARATORS)}]++{_single}(?!{_single})){{2,}}+")
+#: Signs that may be punctuation at a token's ends: first those that seldom stand for a letter there.
+EDGES = "!|(+*", "".join(c for c in LOOKALIKES if not c.isdigit())
 
 
 @dataclass
 class CharModel:
-    """Bigram log prices of characters, with add-one smoothing; '^' before and '$' after a word."""
+    """Bigram log prices of characters, smoothed, '^' before and '$' after a word; learned words and beginnings as a tree."""
 
     counts: dict[str, float] = field(default_factory=dict)
     totals: dict[str, float] = field(default_factory=dict)
+    #: By node: the next nodes by character, its own character, whether a word and whether a beginning ends there.
+    tree: list[tuple[dict[str, int], str, list[bool]]] = field(default_factory=lambda: [({}, "^", [False, False])])
+    learned: int = 0
 
     @classmethod
     def of(cls, words: dict[str, int]) -> CharModel:
@@ -58,35 +65,81 @@ class CharModel:
                 m.totals[a] = m.totals.get(a, 0) + n
         return m
 
+    def learn(self, words: list[str]) -> None:
+        """Words, and beginnings marked by a leading space, that the decoder knows as such."""
+        for w in words:
+            at = 0
+            for c in w.strip():
+                if c not in self.tree[at][0]:
+                    self.tree[at][0][c] = len(self.tree)
+                    self.tree.append(({}, c, [False, False]))
+                at = self.tree[at][0][c]
+            self.tree[at][2][w.startswith(" ")] = True
+        self.learned += len(words)
+
     def price(self, a: str, b: str) -> float:
         return -math.log((self.counts.get(a + b, 0) + 0.1) / (self.totals.get(a, 0) + 10.0))
 
 
 def restore(token: str, model: CharModel) -> str:
-    """The cheapest word for a token; letters are kept, or dropped where they repeat the last one."""
-    best: dict[str, tuple[float, str]] = {"^": (0.0, "")}
-    for ch in token.lower():
+    """The cheapest words for a token; letters are kept, or dropped where they repeat the last one.
+
+    A state is the last character of a word outside the tree, '^' before a word, or a node of
+    the tree; a learned word costs the same whichever it is, and no more for its characters.
+    Gaps wider than the token's narrowest end a word at no price.
+    """
+    token = token.lower()
+    gaps = [len(g) for g in re.findall(rf"[{re.escape(SEPARATORS)}]+", token)]
+    least, gap = min(gaps, default=0), iter(gaps)
+    enter = LEARNED + math.log(max(model.learned, 1))
+    best: dict[str | int, tuple[float, tuple | None]] = {"^": (0.0, None)}
+    wide, between = False, False
+    for ch in token:
+        if ch in SEPARATORS:
+            wide = wide if between else next(gap) > least
+            between = True
+        else:
+            between = False
         choices = [(c, SWAP) for c in LOOKALIKES.get(ch, "")]
         if ch.isalpha():
             choices.append((ch, 0.0))
         elif ch not in SEPARATORS:
             choices.append((ch, KEEP_SIGN))
-        after: dict[str, tuple[float, str]] = {}
-        for last, (price, word) in best.items():
+        after: dict[str | int, tuple[float, tuple | None]] = {}
+
+        def put(state, price, trail, after=after):
+            if state not in after or price < after[state][0]:
+                after[state] = price, trail
+
+        for state, (price, trail) in best.items():
+            inside = isinstance(state, int)
+            nexts, last, (whole, begins) = model.tree[state if inside else 0]
+            last = last if inside else state
             for c, extra in choices:
-                to = price + extra + model.price(last, c)
-                if c not in after or to < after[c][0]:
-                    after[c] = to, word + c
+                if not inside or begins:
+                    put(c, price + extra + model.price(last, c), (trail, c))
+                if c in nexts and (inside or state == "^"):
+                    put(nexts[c], price + extra + (0.0 if inside else enter), (trail, c))
                 if c == last:
-                    to = price + extra + SKIP_REPEAT
-                    if to < after[c][0]:
-                        after[c] = to, word
+                    put(state, price + extra + SKIP_REPEAT, trail)
             if ch in SEPARATORS:
-                to = price + SKIP_SEPARATOR
-                if last not in after or to < after[last][0]:
-                    after[last] = to, word
+                put(state, price + SKIP_SEPARATOR, trail)
+                if state != "^" and (not inside or whole or begins):
+                    ends = 0.0 if whole else model.price(last, "$")
+                    put("^", price + ends + (0.0 if wide else END_WORD), (trail, " "))
         best = after or best
-    return min((price + model.price(last, "$"), word) for last, (price, word) in best.items())[1]
+    ended = []
+    for state, (price, trail) in best.items():
+        _, last, (whole, begins) = model.tree[state if isinstance(state, int) else 0]
+        if not isinstance(state, int):
+            ended.append((price + (model.price(state, "$") if state != "^" else 0.0), str(state), trail))
+        elif whole or begins:
+            ended.append((price + (0.0 if whole else model.price(last, "$")), last, trail))
+    trail, out = min(ended, key=lambda e: e[:2])[2], []
+    while trail:
+        trail, c = trail
+        out.append(c)
+    return "".join(reversed(out)).strip()
 
 
 def fold(text: str) -> bytes:
@@ -96,20 +149,48 @@ def fold(text: str) -> bytes:
 def suspects(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Which texts of a joined buffer may hold a suspicious token; the others are not searched."""
     letter, sign = WORD_BYTE[buf], SIGN_BYTE[buf]
-    where = [np.flatnonzero(sign[:-1] & letter[1:])]
+    where = [np.flatnonzero((sign[:-1] & letter[1:]) | (letter[:-1] & sign[1:]))]
     where.append(np.flatnonzero(letter[2:] & (buf[2:] == buf[1:-1]) & (buf[1:-1] == buf[:-2])))
     where.append(np.flatnonzero((buf[4:] >= 128) & (buf[4:] == buf[2:-2]) & (buf[2:-2] == buf[:-4])))  # two bytes a letter
-    starts, ends = spans(letter)
-    single = starts[(ends - starts == 1) | ((ends - starts == 2) & (buf[starts] >= 0xC2))]
-    where.append(single[:-2][single[2:] - single[:-2] <= 12] if len(single) > 2 else single[:0])
+    starts, ends = spans((letter | sign) & (buf != 42))
+    lead, size = buf[starts], ends - starts
+    alone = (size == 1) | ((size == 2) & (lead >= 0xC2)) | ((size == 3) & (lead >= 0xE0))
+    where.append(starts[:-2][alone[:-2] & alone[1:-1] & alone[2:]] if len(starts) > 2 else starts[:0])
     out = np.zeros(len(at) - 1, bool)
     out[np.searchsorted(at, np.concatenate(where), "right") - 1] = True
     return out
 
 
+def candidates(text: str) -> list[str]:
+    """The suspicious tokens of a text; one that may have punctuation around or inside it stands with and without."""
+    out = [m[0] for m in SPACED.finditer(text) if any(map(str.isalpha, m[0]))]
+    end = 0
+    for m in MIXED.finditer(text):
+        if any(map(str.isalpha, m[0])):
+            out.extend(w for w in dict.fromkeys((m[0], *map(m[0].strip, EDGES))) if len(w) > 1 and not w.isalpha())
+            if m.start() >= end:  # with what stands beside it up to the next space
+                start, end = m.span()
+                while start and not text[start - 1].isspace():
+                    start -= 1
+                while end < len(text) and not text[end].isspace():
+                    end += 1
+                if (start, end) != m.span():
+                    out.append(text[start:end])
+    end = 0
+    for m in REPEATED.finditer(text):
+        if m.start() >= end:
+            start, end = m.span()
+            while start and text[start - 1].isalpha():
+                start -= 1
+            while end < len(text) and text[end].isalpha():
+                end += 1
+            out.append(text[start:end])
+    return out
+
+
 def restored_words(text: str, model: CharModel) -> list[str]:
     """What the suspicious tokens of a text most likely say."""
-    return [w for m in SUSPICIOUS.finditer(text) if (w := restore(m[0].strip(), model)) and w != m[0].lower()]
+    return [w for c in dict.fromkeys(candidates(text)) if (w := restore(c, model)) and w != c.lower()]
 
 
 @dataclass
@@ -213,6 +294,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Mode
         except UnicodeDecodeError:  # a beginning that ends within a character
             continue
     model = Model([bytes(r["word"]) for r in picked], np.zeros(len(picked)), 0.0, CharModel.of(chars))
+    model.chars.learn([w.decode("utf-8", "ignore") for w in model.words])
 
     def numbers(batches):
         for b in batches:

@@ -277,6 +277,22 @@ def test_toxicity(spark):
     assert toxicity.train(d, labels.limit(0)).scores(["idiot"])[0] < 0.01
 
 
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, "you a " + prose(rng, 25) + (" idiot moron stupid hate" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(360)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return toxicity.train(d.select("doc_id", "text"), d.select("doc_id", "toxic"))
+
+
+def test_obfuscated_words_are_found(toxic_model):
+    bad = ["hat3", "idi07", "the st0n3 hat3.", '"1d1ot"', "-1d1ot", "you,1d1ot", "(1d1ot!!)", "$tup1d", "1d-1ot", "i   d   i   o   t", "i\nd\ni\no\nt", "i,d,i,o,t", "i'd'i'o't", "1 d 1 0 t"]
+    bad += ["a s t u p i d", "y o u s t u p i d", "t h e w a t e r  s t u p i d", " ".join("the river stone light water house silver stupid cloud paper".replace(" ", "")), "x" * 60 + ",1d1ot"]
+    good = ["t h e r i v e r", "st0ne w4ter!", "a, b, c, d", "1 2 3 4 5", "x" * 5000, "a " * 5000, "ab1" * 5000]
+    assert [t for t in bad if toxic_model.scores([t])[0] < 0.7] == []
+    assert [t[:20] for t in good if toxic_model.scores([t])[0] >= 0.7] == []
+
+
 def test_surrogates(spark, empty):
     texts = [
         "Write to Anna.Bell@example.com or call +1 (569) 555-4877, card 4619646426088949.",
