@@ -3,13 +3,14 @@
 Suspicious tokens (letters mixed with look-alike signs, characters spaced out, letters
 repeated) become lattices of characters: a sign may stand for a letter, a repeated letter
 for one, a separator for nothing or for the end of a word, each at a price. Viterbi decoding
-under a character bigram model and the learned words restores the likeliest words. Restored
-and plain words then feed a logistic model on log odds of words and word beginnings, learned
-from at most MAX_TRAIN labelled rows.
+under a bigram model of the characters of all documents and the learned words restores the
+likeliest words. Restored and plain words then feed a logistic model on log odds of words and
+word beginnings, learned from at most MAX_TRAIN labelled rows.
 """
 
 from __future__ import annotations
 
+import collections
 import functools
 import math
 import re
@@ -29,6 +30,8 @@ BEGINNINGS = (4, 5, 6, 7)
 SURPRISE = 16.0
 #: Signs and the letters that they may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou"}
+#: From here on scripts have no alphabet; their characters count as one in the character model.
+ONE_CLASS = "\u2e80"
 SEPARATORS = " .-_*~/,'\"^\n\r\t\v\f"
 SWAP, SKIP_SEPARATOR, SKIP_REPEAT, KEEP_SIGN, END_WORD, LEARNED = 1.0, 0.3, 0.4, 6.0, 1.0, 0.5
 
@@ -56,15 +59,6 @@ class CharModel:
     tree: list[tuple[dict[str, int], str, list[bool]]] = field(default_factory=lambda: [({}, "^", [False, False])])
     learned: int = 0
 
-    @classmethod
-    def of(cls, words: dict[str, int]) -> CharModel:
-        m = cls()
-        for w, n in words.items():
-            for a, b in zip("^" + w, w + "$", strict=True):
-                m.counts[a + b] = m.counts.get(a + b, 0) + n
-                m.totals[a] = m.totals.get(a, 0) + n
-        return m
-
     def learn(self, words: list[str]) -> None:
         """Words, and beginnings marked by a leading space, that the decoder knows as such."""
         for w in words:
@@ -78,9 +72,47 @@ class CharModel:
         self.learned += len(words)
 
     def price(self, a: str, b: str) -> float:
+        a, b = min(a, ONE_CLASS), min(b, ONE_CLASS)
         return -math.log((self.counts.get(a + b, 0) + 0.1) / (self.totals.get(a, 0) + 10.0))
 
 
+def char_model(docs: DataFrame) -> CharModel:
+    """Counts of the character pairs of the words of all documents; what reaches the driver is bounded by the alphabets."""
+    many = ord(ONE_CLASS) + 1
+
+    def run(batches):
+        letter = np.array([chr(c).isalpha() for c in range(many)])
+        letter[-1] = True
+        total = collections.Counter()
+        for b in batches:
+            texts = b.column(0).to_pylist()
+            for low, high in in_slices(texts):
+                raw = "\n".join(["", *texts[low:high], ""]).lower().encode("utf-32-le", "replace")
+                chars = np.minimum(np.frombuffer(raw, "<u4"), many - 1)
+                chars = np.where(letter[chars], chars, 0)
+                used = np.flatnonzero(np.bincount(chars, minlength=many))
+                place = np.zeros(many, np.int64)
+                place[used] = np.arange(len(used))
+                pairs = place[chars[:-1]] * len(used) + place[chars[1:]]
+                if len(used) <= 1000:
+                    n = np.bincount(pairs, minlength=len(used) ** 2)
+                    pairs = np.flatnonzero(n)
+                    n = n[pairs]
+                else:
+                    pairs, n = np.unique(pairs, return_counts=True)
+                for x, y, k in zip(used[pairs // len(used)].tolist(), used[pairs % len(used)].tolist(), n.tolist(), strict=True):
+                    if x or y:
+                        total[x, y] += k
+        yield pa.record_batch([pa.array([x for x, _ in total], pa.int32()), pa.array([y for _, y in total], pa.int32()), pa.array(list(total.values()), pa.int64())], names=["a", "b", "n"])
+
+    m = CharModel()
+    for x, y, n in id_text(docs).select("text").mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n")).collect():
+        first = chr(x) if x else "^"
+        m.counts[first + (chr(y) if y else "$")] = n
+        m.totals[first] = m.totals.get(first, 0) + n
+    return m
+
+
 def restore(token: str, model: CharModel) -> str:
     """The cheapest words for a token; letters are kept, or dropped where they repeat the last one.
 
@@ -279,21 +311,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Mode
     both = functools.reduce(DataFrame.unionByName, [flat, *starts])
     tallies = both.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("all"))
     # Log odds of at least 3, in at least 3 toxic rows, and more than chance gives among so many words: the rows'
-    # divergence from the share of toxic ones exceeds SURPRISE. Also the commonest words, for the character model.
+    # divergence from the share of toxic ones exceeds SURPRISE.
     odds = F.log((F.col("bad") + 0.5) / (n[1] + 1)) - F.log((F.col("all") - F.col("bad") + 0.5) / (n[0] + 1))
     base, good = n[1] / (n[0] + n[1]), F.col("all") - F.col("bad")
     diverges = F.col("bad") * F.log(F.col("bad") / (F.col("all") * base)) + F.when(good > 0, good * F.log(good / (F.col("all") * (1 - base)))).otherwise(0.0)
     tallies = tallies.withColumn("odds", odds)
-    picked = tallies.where((F.col("bad") >= 3) & (odds >= 3) & (diverges >= SURPRISE)).orderBy(F.desc("bad"), "word").limit(2000).collect()
-    common = tallies.where(F.substring("word", 1, 1) != F.lit(b" ")).orderBy(F.desc("all"), "word").limit(5000).collect()
-    chars: dict[str, int] = {}
-    for r in [*common, *(p for p in picked for _ in range(3))]:
-        w = bytes(r["word"]).strip()
-        try:
-            chars[w.decode()] = chars.get(w.decode(), 0) + 1 + int(math.sqrt(r["all"]))
-        except UnicodeDecodeError:  # a beginning that ends within a character
-            continue
-    model = Model([bytes(r["word"]) for r in picked], np.zeros(len(picked)), 0.0, CharModel.of(chars))
+    picked = tallies.where((F.col("bad") >= 3) & (odds >= 3) & (diverges >= SURPRISE)).orderBy(F.desc("bad"), "word").collect()
+    model = Model([bytes(r["word"]) for r in picked], np.zeros(len(picked)), 0.0, char_model(docs))
     model.chars.learn([w.decode("utf-8", "ignore") for w in model.words])
 
     def numbers(batches):

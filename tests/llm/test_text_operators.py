@@ -293,6 +293,19 @@ def test_obfuscated_words_are_found(toxic_model):
     assert [t[:20] for t in good if toxic_model.scores([t])[0] >= 0.7] == []
 
 
+def test_characters_of_all_documents_count(spark):
+    texts = ["the river idiot"] * 12 + ["the river stone"] * 12 + ["Žluťoučký kůň, z9b ŽLUTÝ!", "上海 上海", None, ""] * 40
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    model = toxicity.train(d, spark.createDataFrame([(i, int(i < 12)) for i in range(24)], "doc_id long, toxic int"), 20)
+    want = collections.Counter()
+    for t in texts:
+        for w in re.findall(r"[^\W\d_]+", (t or "").lower()):
+            w = "".join(min(c, toxicity.ONE_CLASS) for c in w)
+            want.update(a + b for a, b in zip("^" + w, w + "$", strict=True))
+    assert model.chars.counts == dict(want)
+    assert toxicity.restore("ž1utý", model.chars) == "žlutý"
+
+
 def test_surrogates(spark, empty):
     texts = [
         "Write to Anna.Bell@example.com or call +1 (569) 555-4877, card 4619646426088949.",
