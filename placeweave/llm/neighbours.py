@@ -3,8 +3,10 @@
 Each of CURVES orderings projects the vectors on its own mix of the principal axes (fitted
 on at most SAMPLE vectors), shifts and scales them to a grid, and numbers the cells along a
 Hilbert curve. An ordering is cut into ranges of about RANGE vectors; a query looks in its
-own range and the two beside it, and the orderings' findings are merged and ranked by the
-exact inner product. Equal vectors are one entry with their smallest ids, so a very common
+own range and in those up to a reach on both sides, and the orderings' findings are merged
+and ranked by the exact inner product. The reach is the least that finds RECALL of the true
+neighbours of JUDGED queries, which are compared with every vector; so it grows as the table
+demands it, to the whole table if need be. Equal vectors are one entry with their smallest ids, so a very common
 vector fills no range. Inner products of vectors of unlike length become distances by one
 more coordinate, which brings every vector to the largest norm.
 """
@@ -22,6 +24,7 @@ CURVES = 14
 DIMENSIONS, BITS = 10, 6
 RANGE = 2048
 SAMPLE = 4096
+RECALL, JUDGED = 0.95, 128
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -88,6 +91,37 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     return rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(~bad).where(F.exists("v", lambda x: x != 0))
 
 
+def true_pairs(entries: DataFrame, keys: DataFrame, d: int, k: int, judged: int = JUDGED) -> list:
+    """(keys of a query, keys of one of its k nearest entries) for sampled queries, by comparison with every entry."""
+    rows = entries.where("asked").orderBy(F.xxhash64("entry"), "entry").select("entry", "v").limit(judged).collect()
+    asker, q = np.array([r["entry"] for r in rows], np.int64), np.array([r["v"] for r in rows], np.float64).reshape(-1, d)
+
+    def best(batches):
+        for b in batches:
+            if not b.num_rows or not len(q):
+                continue
+            entry, x = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.float64).reshape(-1, d)
+            score = np.where(asker[:, None] == entry, -np.inf, q @ x.T)
+            most = min(k, len(entry))
+            top = np.argpartition(-score, most - 1, axis=1)[:, :most].ravel()
+            yield pa.record_batch([pa.array(np.repeat(asker, most)), pa.array(entry[top]), pa.array(score[np.repeat(np.arange(len(q)), most), top])], names=["asker", "entry", "score"])
+
+    near = F.row_number().over(Window.partitionBy("asker").orderBy(F.desc("score"), "entry"))
+    found = entries.select("entry", "v").mapInArrow(best, "asker long, entry long, score double").where(F.col("score") > float("-inf"))
+    found = found.withColumn("at", near).where(F.col("at") <= k).select("asker", "entry")  # at most judged x k rows
+    own = keys.join(F.broadcast(found), "entry").select("asker", F.col("keys").alias("near"))
+    return keys.toDF("asker", "keys").join(F.broadcast(own), "asker").select("keys", "near").collect()
+
+
+def reach_of(pairs: list, splits: list[np.ndarray], recall: float = RECALL) -> int:
+    """The least number of ranges to each side, at least one, in which the share recall of the pairs stands."""
+    if not pairs:
+        return 1
+    a, b = (np.array([p[i] for p in pairs], np.float64) for i in (0, 1))
+    apart = np.min([np.abs(np.searchsorted(s, a[:, c], "right") - np.searchsorted(s, b[:, c], "right")) for c, s in enumerate(splits)], axis=0)
+    return max(1, int(np.sort(apart)[max(0, int(np.ceil(recall * len(apart))) - 1)]))
+
+
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, range_size: int = RANGE, curves: int = CURVES) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by every, its k nearest found.
 
@@ -127,6 +161,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, range_size: int =
     cuts = [i / ranges for i in range(1, ranges)]
     spots = keys.select(*(F.col("keys")[c].cast("double").alias(f"k{c}") for c in range(curves)))
     splits = spots.approxQuantile([f"k{c}" for c in range(curves)], cuts, 0.2 / ranges) if cuts else [[] for _ in range(curves)]
+    splits = [np.unique(s) for s in splits]  # keys that many entries share make no empty ranges
+    reach = reach_of(true_pairs(entries, keys, d, k), splits) if cuts else 1
 
     def ranged(batches):
         for b in batches:
@@ -134,9 +170,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, range_size: int =
             grid = np.array(b.column(1).to_pylist(), np.float64).reshape(-1, curves)
             asked = b.column(2).to_pylist()
             for c in range(curves):
-                at = np.searchsorted(np.array(splits[c]), grid[:, c], "right")
+                at = np.searchsorted(splits[c], grid[:, c], "right")
                 for e, r, q in zip(entry, at.tolist(), asked, strict=True):
-                    for role, spot in ((False, r), *(((True, s) for s in (r - 1, r, r + 1) if 0 <= s < ranges) if q else ())):
+                    for role, spot in ((False, r), *(((True, s) for s in range(max(0, r - reach), min(len(splits[c]), r + reach) + 1)) if q else ())):
                         for col, v in zip(out, (e, c, spot, role), strict=True):
                             col.append(v)
             yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.bool_())], names=["entry", "curve", "spot", "asks"])

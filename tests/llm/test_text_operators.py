@@ -370,3 +370,19 @@ def test_nearest(spark):
     assert neighbours.nearest(d.limit(0)).count() == 0
     few = neighbours.nearest(spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5])], "vec_id long, embedding array<float>"))
     assert [tuple(r) for r in few.collect()] == [(0, 1, 1, 0.5)]
+
+
+def test_reach_grows_until_recall(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 24))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(d, 20, 20, 32, 3).collect():
+        got[r.query_id].add(r.vec_id)
+    hit = 0
+    for q in range(0, 3000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(got[q] & set(np.argsort(-s)[:20].tolist()))
+    assert hit / (20 * 150) >= 0.9
+    assert neighbours.reach_of([([0.0], [9.0]), ([0.0], [5.0])], [np.arange(1.0, 10.0)]) == 9
