@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .config import AnchorConfig, GraphConfig, JobConfig, PairConfig, VisitConfig
+from .functions import text
 from .operators import assign, clean, community, edges, geo, keywords, pairs, regional, report, results, visits
 from .plans import jobs
 from .sources.tables import shared_table
@@ -541,6 +542,19 @@ def p11_statuses(spark, sf_dir):
     return clean.exclude_statuses(raw).groupBy(F.col("is_abnormal").alias("status")).agg(F.count("*").alias("n"))
 
 
+STATUS_NAMES = ["active", " normal ", "suspect_online", "suspect_isolated", "suspect_lost", "suspect_cross_region", "suspect_chain_store", "deleted", "1", "2", "3", "4", "5", "6", "7", "正常"]
+
+
+@query(
+    """SELECT event_id, s AS status, CASE trim(s) WHEN 'active' THEN '1' WHEN 'normal' THEN '1' WHEN 'suspect_online' THEN '2' WHEN 'suspect_isolated' THEN '3' WHEN 'suspect_lost' THEN '4' WHEN 'suspect_cross_region' THEN '5' WHEN 'suspect_chain_store' THEN '6' WHEN 'deleted' THEN '7' WHEN '正常' THEN NULL ELSE trim(s) END AS code,
+    trim(s) IN ('1', 'active', 'normal', '正常') AS is_normal FROM (SELECT event_id, list_extract(['active', ' normal ', 'suspect_online', 'suspect_isolated', 'suspect_lost', 'suspect_cross_region', 'suspect_chain_store', 'deleted', '1', '2', '3', '4', '5', '6', '7', '正常'], event_id % 16 + 1) AS s FROM events)"""
+)
+def f10_status_codes(spark, sf_dir):
+    names = F.array(*map(F.lit, STATUS_NAMES))
+    rows = table(spark, sf_dir, "events").select("event_id", F.element_at(names, (F.col("event_id") % 16 + 1).cast("int")).alias("status"))
+    return rows.select("event_id", "status", text.status_code(F.col("status")).alias("code"), text.is_normal(F.col("status")).alias("is_normal"))
+
+
 @query()
 def d1_initial_job(spark, sf_dir):
     return jobs.initial(_raw(spark, sf_dir), {"R": ["R市"]}, "20240131", JOB, "2024-01-31 00:00:00")

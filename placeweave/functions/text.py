@@ -42,11 +42,12 @@ def id_order(c: Column) -> Column:
 
 
 #: Status names and their codes in result tables.
-STATUS_CODES = {"normal": "1", "suspect_online": "2", "suspect_isolated": "3", "suspect_chain_store": "4", "cross_region": "5"}
+STATUS_CODES = {"active": "1", "normal": "1", "suspect_online": "2", "suspect_isolated": "3", "suspect_lost": "4", "suspect_cross_region": "5", "suspect_chain_store": "6", "deleted": "7"}
+NORMAL_NAMES = ("active", "normal", "正常")
 
 
 def status_code(c: Column) -> Column:
-    """Name to code; digits pass; anything else null."""
+    """Name to code; codes pass; anything else null, which target_rows refuses."""
     t = clean(c)
     out = F.when(t.rlike("^[1-7]$"), t)
     for name, code in STATUS_CODES.items():
@@ -54,6 +55,12 @@ def status_code(c: Column) -> Column:
     return out
 
 
+def is_normal(c: Column) -> Column:
+    """Whether a status, name or code, says that a merchant is in order; null and blank do not."""
+    t = clean(c)
+    return (t == "1") | t.isin(*NORMAL_NAMES)
+
+
 def normal_status(c: Column) -> Column:
     """'3.0' to '3', null to ''."""
     t = clean(c)

@@ -42,15 +42,14 @@ def canonical(df: DataFrame, source: str, formats: tuple[str, ...] = FORMATS) ->
     return out.withColumnsRenamed({"account_number": "card_id", "storename": "merchant_id"}).drop("transaction_time")
 
 
-def load_table(df: DataFrame, dt: str, source: str = "table", formats: tuple[str, ...] = FORMATS, checked: bool = True) -> DataFrame:
+def load_table(df: DataFrame, dt: str, source: str = "table", formats: tuple[str, ...] = FORMATS) -> DataFrame:
     """Canonical transactions of a table. Repeated flow numbers: the first stays. Extra columns go."""
     require_columns(df, TABLE_COLUMNS, source)
-    kept = keep_categories(df, source) if checked else df.withColumn("merchant_category", category(F.col("merchant_category"))).where(F.col("merchant_category").isin(*CLUSTERED))
+    kept = keep_categories(df, source)
     day = clean(F.col("dt")) if "dt" in df.columns else F.lit("")
     others = [c for c in TABLE_COLUMNS if c not in ("storename", "merchant_category")]
     rows = kept.select(kept_name(F.col("storename")).alias("storename"), "merchant_category", F.when(day == "", F.lit(dt)).otherwise(day).alias("dt"), *(clean(F.col(c)).alias(c) for c in others))
-    if checked:
-        reject_blank(rows, ["account_number", "global_flow_number", "storename", "region", "dt"], source)
+    reject_blank(rows, ["account_number", "global_flow_number", "storename", "region", "dt"], source)
     return canonical(first_of_flow(rows), source, formats)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..errors import DataError
 from ..functions.geo import cell, haversine_m
 from ..functions.text import id_order
 from .pairs import both_ways
@@ -69,8 +70,14 @@ def with_seed_edges(edges: DataFrame, coords: DataFrame, radius_m: float) -> Dat
     return both.select("l", "r", w.alias("weight"), F.coalesce("support", F.lit(0)).alias("support"), F.coalesce("geo_seed", F.lit(0)).alias("geo_seed"))
 
 
-def bounded_points(points: DataFrame, west: float, east: float, south: float, north: float) -> DataFrame:
-    """The first coordinate of each name inside a box."""
+def bounded_points(points: DataFrame, west: float, east: float, south: float, north: float, place: str = "place") -> DataFrame:
+    """The first coordinate of each name inside a box, in the order of the column place (as read_places gives it).
+
+    A box without any point is an error.
+    """
     inside = points.where(F.col("longitude").between(west, east) & F.col("latitude").between(south, north))
-    order = Window.partitionBy("merchant_id").orderBy("longitude", "latitude")
-    return inside.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    order = Window.partitionBy("merchant_id").orderBy(place)
+    out = inside.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    if out.isEmpty():
+        raise DataError(f"no coordinate lies in {west} to {east}, {south} to {north}")
+    return out

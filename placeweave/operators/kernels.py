@@ -147,6 +147,12 @@ def distances(lon: np.ndarray, lat: np.ndarray, radius: float = 6371008.8) -> np
     return 2 * radius * np.arcsin(np.sqrt(np.minimum(h, 1)))
 
 
+def distances_to(lon: np.ndarray, lat: np.ndarray, at_lon: float, at_lat: float, radius: float = 6371008.8) -> np.ndarray:
+    x, y, u, v = np.radians(lon), np.radians(lat), np.radians(at_lon), np.radians(at_lat)
+    h = np.sin((y - v) / 2) ** 2 + np.cos(y) * np.cos(v) * np.sin((x - u) / 2) ** 2
+    return 2 * radius * np.arcsin(np.sqrt(np.minimum(h, 1)))
+
+
 def agglomerative(d: np.ndarray, threshold: float, linkage: str = "average") -> np.ndarray:
     """Merge the two nearest clusters while they are closer than threshold; labels by first member."""
     n = len(d)
@@ -155,7 +161,7 @@ def agglomerative(d: np.ndarray, threshold: float, linkage: str = "average") ->
     size, label, live = np.ones(n), np.arange(n), np.ones(n, bool)
     while live.sum() > 1:
         i, j = np.unravel_index(d.argmin(), d.shape)
-        if d[i, j] > threshold:
+        if d[i, j] >= threshold:
             break
         i, j = min(i, j), max(i, j)
         row = np.maximum(d[i], d[j]) if linkage == "complete" else (size[i] * d[i] + size[j] * d[j]) / (size[i] + size[j])
@@ -173,8 +179,7 @@ def trimmed(lon: np.ndarray, lat: np.ndarray, most_m: float) -> np.ndarray:
     stay = np.ones(len(lon), bool)
     while stay.sum() > 1:
         at = np.flatnonzero(stay)
-        clon, clat = lon[at].mean(), lat[at].mean()
-        far = distances(np.append(lon[at], clon), np.append(lat[at], clat), 6371000.0)[-1, :-1]
+        far = distances_to(lon[at], lat[at], lon[at].mean(), lat[at].mean(), 6371000.0)
         if far.max() <= most_m:
             break
         stay[at[far.argmax()]] = False

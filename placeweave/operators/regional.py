@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m
 from ..functions.text import id_order
+from ..sources.tables import shared_table
 from . import kernels
-from .community import component_labels, detect, renumbered
+from .community import component_labels, detect, numbered, renumbered
 from .pairs import both_ways
 
 LEGACY_EARTH_M = 6371000.0
@@ -128,23 +129,44 @@ def linked_far_clusters(edges: DataFrame, placed: DataFrame, centre: DataFrame,
     return a.join(b, "node").where((F.col("ca") < F.col("cb")) & (d > distance_m)).select("node").distinct()
 
 
-def local_update(nodes: DataFrame, edges: DataFrame, partition: DataFrame, touched: DataFrame, hops: int = 1) -> DataFrame:
-    """node, community_id: communities found anew around touched nodes, all others as they are; new ones take the old id that
-    they overlap most, each id once."""
-    area = touched.select("node")
+def local_update(nodes: DataFrame, edges: DataFrame, partition: DataFrame, touched: DataFrame, hops: int = 1, resolution: float = 0.5) -> DataFrame:
+    """node, community_id: communities found anew around touched nodes, all others of the graph as they are.
+
+    A new group takes the old id with the most edge weight to it, then the most members in it,
+    then the smaller text. Groups choose in the order of those two figures of their favourite,
+    then of their size (largest first), then of their smallest node; each id goes once, and
+    groups left without one are numbered on from the largest old id.
+    """
+    nodes = nodes.select("node")
+    area = touched.select("node").join(nodes, "node", "left_semi").distinct()
     for _ in range(hops):
         area = both_ways(edges).join(area, "node", "left_semi").select(F.col("other").alias("node")).unionByName(area).distinct()
+    area = shared_table(area, "area")
     inner = edges.join(area.toDF("l"), "l", "left_semi").join(area.toDF("r"), "r", "left_semi")
-    fresh = detect(area, inner, 1.0, refine=False).withColumnRenamed("community_id", "new_id")
-    both = fresh.join(partition, "node")
-    overlap = both.groupBy("new_id", "community_id").agg(F.count("*").alias("n"))
-    best_new = F.row_number().over(Window.partitionBy("new_id").orderBy(F.desc("n"), "community_id"))
-    best_old = F.row_number().over(Window.partitionBy("community_id").orderBy(F.desc("n"), "new_id"))
-    held = partition.join(area, "node", "left_anti").select("community_id").distinct().withColumn("held", F.lit(True))
-    match = overlap.withColumns({"a": best_new, "b": best_old}).where("a = 1 AND b = 1").join(held, "community_id", "left_anti").select("new_id", "community_id")
-    top = F.broadcast(partition.agg(F.coalesce(F.max("community_id"), F.lit(-1)).alias("top")))  # one row
-    named = fresh.join(match, "new_id", "left").join(top).select("node", F.coalesce("community_id", F.col("top") + 1 + F.col("new_id")).alias("community_id"))
-    return partition.join(area, "node", "left_anti").unionByName(named)
+    fresh = detect(area, inner, resolution, refine=False).withColumnRenamed("community_id", "new_id")
+    old = partition.select("node", "community_id")
+    members = fresh.join(old, "node").groupBy("new_id", "community_id").agg(F.count("*").alias("members"))
+    tied = both_ways(edges, "weight").join(fresh, "node").join(old.toDF("other", "community_id"), "other")
+    tied = tied.groupBy("new_id", "community_id").agg(F.round(F.sum("weight"), 9).alias("tied"))
+    wishes = members.join(tied, ["new_id", "community_id"], "full_outer").na.fill(0, ["members", "tied"])
+    order = Window.partitionBy("new_id").orderBy(F.desc("tied"), F.desc("members"), F.col("community_id").cast("string"))
+    wishes = shared_table(wishes.withColumn("wish", F.row_number().over(order)), "wishes")
+    first = wishes.where("wish = 1").select("new_id", "tied", "members")
+    groups = fresh.groupBy("new_id").agg(F.count("*").alias("size"), F.min("node").alias("low")).join(first, "new_id", "left").na.fill(0, ["members", "tied"])
+    groups = shared_table(groups.select("new_id", F.struct((-F.col("tied")).alias("t"), (-F.col("members")).alias("m"), (-F.col("size")).alias("s"), "low").alias("turn")), "groups")
+    at = groups.select("new_id", "turn", F.lit(1).alias("wish"))
+    while True:  # every group asks for its next wish; an id stays with the asker whose turn is first
+        asked = at.join(wishes.select("new_id", "wish", "community_id"), ["new_id", "wish"])
+        held = asked.groupBy("community_id").agg(F.min_by("new_id", "turn").alias("holder"))
+        asked = shared_table(asked.join(held, "community_id"), "asked")
+        if asked.where("new_id <> holder").isEmpty():
+            break
+        lost = asked.where("new_id <> holder").select("new_id", F.lit(1).alias("next"))
+        at = shared_table(at.join(lost, "new_id", "left").select("new_id", "turn", (F.col("wish") + F.coalesce("next", F.lit(0))).alias("wish")), "at")
+    top = partition.agg(F.max("community_id")).first()[0] or 0
+    rest = numbered(groups.join(asked, "new_id", "left_anti"), [F.asc("turn")], "n").select("new_id", (F.col("n") + F.lit(top) + 1).alias("community_id"))
+    named = fresh.join(asked.select("new_id", "community_id").unionByName(rest), "new_id").select("node", "community_id")
+    return old.join(nodes, "node", "left_semi").join(area, "node", "left_anti").unionByName(named)
 
 
 def component_cluster(edges: DataFrame, components: DataFrame, clusters: DataFrame) -> DataFrame:

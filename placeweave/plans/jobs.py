@@ -69,8 +69,8 @@ def initial(raw: DataFrame, regions: dict[str, list[str]], dt: str, config: JobC
 def incremental(raw: DataFrame, regions: dict[str, list[str]], dt: str, config: JobConfig, update_time: str) -> DataFrame:
     """Target rows of a daily run: new merchants by distance or strongest edge, existing ones as they are."""
     included, cross = clean.split_by_region(raw, regions)
-    everything = clean.load_table(included.unionByName(cross), dt, checked=False)
-    excluded = assign.excluded_rows(everything, update_time, dt)
+    everything = included.unionByName(cross)
+    excluded = None if everything.isEmpty() else assign.excluded_rows(clean.load_table(everything, dt), update_time, dt)
     included, cross = clean.exclude_statuses(included), clean.exclude_statuses(cross)
     included, cross = clean.keep_assigned(included, cross)
     outside = assign.cross_region_rows(cross, included, update_time, dt)
@@ -82,4 +82,5 @@ def incremental(raw: DataFrame, regions: dict[str, list[str]], dt: str, config:
     coords = clean.reliable_coordinates(clean.merchant_coordinates(tx, strict=False), config.geo.max_merchants_per_coordinate)
     found = assign.assigned(assign.candidates(tx, existing, dt), coords, existing, shared_table(graph, "graph"), config.geo.radius_m)
     out = assign.combined(assign.assigned_rows(found, update_time), assign.existing_rows(tx, existing, update_time, dt), tx)
-    return assign.overlay(assign.append_new(out, outside), excluded)
+    out = assign.append_new(out, outside)
+    return out if excluded is None else assign.overlay(out, excluded)

@@ -40,7 +40,7 @@ def read_three_columns(spark: SparkSession, path: str, sep: str = MIDDLE_DOT) ->
 
 
 def read_sniffed(spark: SparkSession, path: str, columns: list[str], aliases: dict[str, str] | None = None, seps: str = ",|\t;") -> DataFrame:
-    """A delimited text whose first line tells the delimiter and whether it is a header."""
+    """A delimited text whose first line tells the delimiter and whether it is a header; place sorts the lines as they stand."""
     first = spark.read.text(path).limit(1).collect()
     if not first:
         raise DataError(f"{path}: empty")
@@ -49,15 +49,18 @@ def read_sniffed(spark: SparkSession, path: str, columns: list[str], aliases: di
     names = [(aliases or {}).get(c.strip(), c.strip()) for c in line.split(sep)]
     header = set(columns) <= set(names)
     df = spark.read.option("sep", sep).option("header", header).csv(path)
-    df = df.toDF(*names) if header else df.toDF(*columns, *(f"extra_{i}" for i in range(len(df.columns) - len(columns))))
-    return df.select(columns)
+    # file by file, block by block, line by line: the order of the text
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    df = df.select("*", place.alias("place"))
+    df = df.toDF(*names, "place") if header else df.toDF(*columns, *(f"extra_{i}" for i in range(len(df.columns) - len(columns) - 1)), "place")
+    return df.select(*columns, "place")
 
 
 def read_places(spark: SparkSession, path: str) -> DataFrame:
-    """merchant_id, longitude, latitude; the first numeric pair of each name."""
+    """merchant_id, longitude, latitude, place; the first numeric pair of each name, in the order of the text."""
     df = read_sniffed(spark, path, ["merchant_id", "longitude", "latitude"])
-    rows = df.select("merchant_id", F.col("longitude").try_cast("double").alias("longitude"), F.col("latitude").try_cast("double").alias("latitude"))
-    return rows.where("longitude IS NOT NULL AND latitude IS NOT NULL").groupBy("merchant_id").agg(F.min(F.struct("longitude", "latitude")).alias("p")).select("merchant_id", "p.*")
+    rows = df.select("merchant_id", "place", F.col("longitude").try_cast("double").alias("longitude"), F.col("latitude").try_cast("double").alias("latitude"))
+    return rows.where("longitude IS NOT NULL AND latitude IS NOT NULL").groupBy("merchant_id").agg(F.min_by(F.struct("longitude", "latitude", "place"), "place").alias("p")).select("merchant_id", "p.*")
 
 
 def read_drawn_merchants(spark: SparkSession, path: str) -> DataFrame:

@@ -94,6 +94,8 @@ def test_anchor_count(spark):
 def test_agglomerative_and_trimming(spark):
     d = kernels.distances(np.array([121.0, 121.001, 121.1]), np.array([31.0, 31.0, 31.0]))
     assert kernels.agglomerative(d, 1500).tolist() == [0, 0, 1]
+    assert kernels.agglomerative(d, float(d[0, 1])).tolist() == [0, 1, 2]  # not at the threshold itself
+    assert np.allclose(kernels.distances_to(np.array([121.0, 121.1]), np.full(2, 31.0), 121.001, 31.0), d[1, [0, 2]])
     assert kernels.trimmed(np.array([121.0, 121.001, 121.5]), np.full(3, 31.0), 2500).tolist() == [True, True, False]
     pts = spark.createDataFrame([(0, 121.0, 31.0), (1, 121.01, 31.0), (2, 125.0, 31.0)], "community_id long, longitude double, latitude double")
     assert {r.community_id: r.geo_cluster for r in regional.merged_centres(pts, 1500).collect()} == {0: 0, 1: 0, 2: 2}
@@ -104,3 +106,16 @@ def test_hub_cleaning(spark):
     statuses, kept, part = community.clean_hubs(nodes, e, 4, 0.4, 3)
     assert {r.node for r in statuses.where("status = 'suspect_online'").collect()} == {"hub"}
     assert kept.count() == 6 and part.select("community_id").distinct().count() == 2
+
+
+def test_local_update_keeps_ids(spark):
+    nodes, e = graph(spark, [("a", "b", 5), ("b", "c", 1), ("c", "d", 5)], ["new"])
+    part = spark.createDataFrame([(n, 7) for n in "abcd"], "node string, community_id long")
+    touched = spark.createDataFrame([("d",), ("new",), ("unknown",)], "node string")
+    got = {r.node: r.community_id for r in regional.local_update(nodes, e, part, touched).collect()}
+    assert got == {"a": 7, "b": 7, "c": 7, "d": 7, "new": 8}
+    two = spark.createDataFrame([("a", 3), ("b", 3), ("c", 3), ("d", 3), ("gone", 9)], "node string, community_id long")
+    got = {r.node: r.community_id for r in regional.local_update(nodes, e, two, spark.createDataFrame([("a",), ("d",)], "node string"), resolution=2.0).collect()}
+    # both pairs want 3 with the weight 11: the one with the smaller node has it
+    assert got == {"a": 3, "b": 3, "c": 10, "d": 10}
+    assert regional.local_update(nodes, e, part, touched.limit(0)).count() == 4

@@ -1,5 +1,6 @@
 import json
 import zipfile
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from placeweave import catalog
 from placeweave.config import AnchorConfig, GraphConfig, JobConfig, PairConfig
 from placeweave.errors import ConfigError, DataError
-from placeweave.operators import assign, charts, keywords, report
+from placeweave.operators import assign, charts, geo, keywords, report, results
 from placeweave.plans import jobs
 from placeweave.sources import files, tables
 from placeweave.streaming import statistics
@@ -31,6 +32,21 @@ def test_initial_job(spark):
     assert (got["lone"].community_id, got["lone"].is_abnormal) == ("", "3") and got["乙市店"].is_abnormal == "5"
 
 
+def test_initial_job_gives_a_busy_chain_store_code_6(spark):
+    rows = [r for k in range(8) for r in visits_of("f", f"c{k}", ["a", "b", "c"])] + [r for k in range(9) for r in visits_of("g", f"c{k}", ["chain"])]
+    config = replace(JOB, anchors=AnchorConfig(chain_quantile=1.0, chain_min_visits=9))
+    got = {r.storename: r for r in jobs.initial(raw(spark, *rows), {"R": ["R市"]}, "20240131", config, "now").collect()}
+    assert got["chain"].is_abnormal == "6" and got["chain"].community_id == got["a"].community_id == "0"
+
+
+def test_unknown_status_is_refused(spark):
+    row = ("s", "0", "", "R", "N", "now", "lost", 0)
+    d = spark.createDataFrame([row], "storename string, community_id string, previous_community_id string, region string, is_interfere string, update_time string, status string, is_position int")
+    with pytest.raises(DataError):
+        results.target_rows(d, "20240131", 1)
+    assert results.target_rows(d.withColumn("status", F.lit("suspect_lost")), "20240131", 1).first().is_abnormal == "4"
+
+
 def test_initial_job_keeps_existing_ids(spark):
     rows = [r for k in range(8) for n in ("a", "b", "c") for r in visits_of("f", f"c{k}", [n], business_district="007" if n == "a" else "")]
     got = {r.storename: r for r in jobs.initial(raw(spark, *rows), {"R": ["R市"]}, "20240131", JOB, "now").collect()}
@@ -103,8 +119,12 @@ def test_texts(spark, tmp_path):
         files.read_three_columns(spark, str(tmp_path / "b.txt"))
     (tmp_path / "c.txt").write_text("﻿" + "|".join(files.TEXT_COLUMNS) + "\n" + "|".join("x" * 10) + "\n", encoding="utf-8")
     assert files.read_text_transactions(spark, str(tmp_path / "c.txt")).count() == 1
-    (tmp_path / "p.csv").write_text("merchant_id\tlongitude\tlatitude\na\t1.5\t2\na\tx\t3\n")
-    assert [tuple(r) for r in files.read_places(spark, str(tmp_path / "p.csv")).collect()] == [("a", 1.5, 2.0)]
+    (tmp_path / "p.csv").write_text("merchant_id\tlongitude\tlatitude\na\tx\t3\na\t1.5\t2\na\t1\t2\n")
+    places = files.read_places(spark, str(tmp_path / "p.csv"))
+    assert [tuple(r) for r in places.drop("place").collect()] == [("a", 1.5, 2.0)]
+    assert [tuple(r) for r in geo.bounded_points(places, 1, 2, 1, 3).drop("place").collect()] == [("a", 1.5, 2.0)]
+    with pytest.raises(DataError):
+        geo.bounded_points(places, 5, 6, 1, 3)
 
 
 def test_exports(spark, tmp_path):
