@@ -120,23 +120,51 @@ def shingles(t, k):
     return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
 
 
-@pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80), (2, 50)])
-def test_jaccard_is_brute_force(docs, rows, k, percent):
-    s = {i: shingles(t, k) for i, t, *_ in rows}
-    parent = {i: i for i in s}
+def linked(sets, percent):
+    """Smallest id reachable, by comparing all pairs."""
+    parent = {i: i for i in sets}
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a in s:
-        for b in s:
-            if a < b and s[a] and s[b] and 100 * len(s[a] & s[b]) >= percent * len(s[a] | s[b]):
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 parent[y] = x
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+@pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80), (2, 50)])
+def test_jaccard_is_brute_force(docs, rows, k, percent):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, k, percent).collect()}
-    assert got == {i: (len(s[i]), find(i)) for i in s}
+    assert got == linked({i: shingles(t, k) for i, t, *_ in rows}, percent)
+
+
+def test_jaccard_in_many_fragments_and_blocks(spark, monkeypatch):
+    """Short segments, blocks of two pairs, several groups; families of edited texts that share passages with others."""
+    for name, value in {"SEGMENT_KEYS": 9, "BLOCK": 2, "GROUP_BYTES": 200, "GROUPS": 3}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    rng = np.random.default_rng(12)
+    passages, texts = [prose(rng, 30) for _ in range(4)], []
+    for f in range(12):
+        base = (prose(rng, 40) + " " + passages[f % 4] + " " + passages[(f + 1) % 4]).split()
+        for _ in range(9):
+            own = list(base)
+            for at in rng.integers(0, len(own), rng.integers(0, 5)):
+                own[at] = f"w{rng.integers(0, 30)}"
+            texts.append(" ".join(own))
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    for k, percent in ((3, 85), (2, 60)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(d, k, percent).collect()}
+        assert got == linked({i: shingles(t, k) for i, t in enumerate(texts)}, percent)
+
+
+def test_first_places():
+    new, refs, times = jaccard._first_places(np.array([5, 9, 5, 7, 9, 5], np.uint64))
+    assert new.tolist() == [True, True, False, True, False, False] and refs.tolist() == [0, 1, 0] and times.tolist() == [3, 2, 1]
 
 
 def test_keep_one(spark, docs, rows, empty):
@@ -144,8 +172,9 @@ def test_keep_one(spark, docs, rows, empty):
     ids = {r.doc_id for r in kept.collect()}
     assert 0 in ids and not ids & {1, 2, 4} and {5, 6, 7} <= ids and kept.columns == docs.columns
     assert jaccard.keep_one(empty).count() == 0
-    odd = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f")], "doc_id long, text string")
-    assert jaccard.jaccard_components(odd).count() == 3
+    odd = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (1, "g h i j k l"), (None, None), (2, "")], "doc_id long, text string")
+    assert jaccard.jaccard_components(odd).count() == 6
+    assert sorted(((r.doc_id, r.text) for r in jaccard.keep_one(odd).collect()), key=repr) == [(1, "a b c d e f"), (1, "g h i j k l"), (2, ""), (None, None)]
 
 
 def test_winnowing(docs, rows, empty):
