@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from placeweave.llm import bpe, huffman, jaccard, langid, licenses, neighbours, packing, pii, toxicity, winnow
@@ -362,11 +363,93 @@ def test_surrogates(spark, empty):
     assert pii.redact_documents(empty).count() == 0
 
 
+def replaced_by_hand(texts, mapping):
+    """Entities in order, then the words of a text's names wherever they stand, with given surrogates."""
+    titles = regex.compile(rf"^(?:{pii.TITLES}) ")
+
+    def kind(e):
+        return next(name for name, p in pii.PATTERNS if regex.fullmatch(p.replace(r"\k<s>", "(?P=s)").replace(r"\k<t>", "(?P=t)"), e))
+
+    def one(e):
+        k = kind(e)
+        if k in ("card", "phone", "iban", "ssn"):
+            new = iter(mapping[k, re.sub("[^0-9A-Za-z+]", "", e)])
+            return "".join(next(new) if re.match("[0-9A-Za-z+]", c) else c for c in e)
+        new = mapping[k, e.lower() if k in ("email", "ipv6") else e]
+        return new.upper() if k in ("email", "ipv6") and e == e.upper() and e != e.lower() else new
+
+    out = []
+    for t in texts:
+        found = list(regex.finditer(pii.ENTITY.replace(r"\k<s>", "(?P=s)").replace(r"\k<t>", "(?P=t)"), t or ""))
+        words = {w.lower() for m in found if kind(m[0]) == "person" for w in regex.findall(pii.WORD, titles.sub("", m[0]))}
+        swap = lambda m: (n.upper() if m[0] == m[0].upper() else n) if m[0].lower() in words and (n := mapping["word", m[0].lower()]) else m[0]  # noqa: B023, E731
+        new, at = "", 0
+        for m in found:
+            new += regex.sub(pii.WORD, swap, t[at : m.start()]) + (regex.sub(pii.WORD, swap, m[0]) if kind(m[0]) == "person" else one(m[0]))
+            at = m.end()
+        out.append(None if t is None else new + regex.sub(pii.WORD, swap, t[at:]))
+    return out
+
+
+def test_names_agree_over_spellings(spark):
+    texts = [
+        "Mr. John Smith met Anna and John Smith. Mr. Smith left. Smith sat on SMITH's hat. Dr. J. O'Brien-Smith",
+        "Dr. Anna Novak",
+        "Ms. Anna Novak said: Anna",
+        "Mr. Bob Stone",
+        "Dr. Bob Stone; Bob",
+        "josé.garcía@x.es a@b.co 2001:db8::1 fe80:0:0:0:0:0:0:1 12:34:56 AB:CD:EF:0:1:2:3:4",
+        "3782 822463 10005 and 4619646426088949, 4619 6464 2608 8949",
+        "DE89 3704 0044 0532 0130 00, 10.0.0.1 " + pii.MARK + " 123-45-6789 +1 (569) 555-4877",
+        None,
+        "",
+        "Mary Poppins came. Poppins went. Plain 12 apples " * 3000,
+        "Г-н Иван Петров и Петров; Κυρία Μαρία Παππά, Frau Müller-Lüdenscheidt",
+    ]
+    d = spark.createDataFrame([*enumerate(texts), (3, texts[3]), (None, texts[4])], "doc_id long, text string")
+    d = d.withColumns({c: F.lit("clash") for c in ("row", "cut", "map", "found", "entity", "c0", "named")})
+    rows = pii.replace(d).collect()
+    assert pii.replace(d).columns == d.columns and len(rows) == len(texts) + 2 and all(r.map == r.c0 == "clash" for r in rows)
+    got = {r.doc_id: r.text for r in rows}
+    name = r"([\w'-]+)"
+    m = re.match(rf"Mr\. {name} {name} met Anna and {name} {name}\. Mr\. {name} left\. {name} sat on {name}'s hat", got[0])
+    assert m[1] == m[3] and m[2] == m[4] == m[5] == m[6] and m[7] == m[2].upper() and m[1] in pii.NAMES["latin", "m"]
+    anna, bob = got[1].split()[1], got[3].split()[1]
+    assert got[2].startswith("Ms. " + got[1][4:])
+    assert got[2].endswith(anna) and anna[-1] in "a" and got[3][4:] == got[4][4 : len(got[3])] == got[None][4 : len(got[3])] and got[4].endswith(bob)
+    assert bob in pii.NAMES["latin", "m"] and anna in pii.NAMES["latin", "f"]
+    for leak in ("josé", "garcía", "db8", "fe80", "3782", "Smith", "Novak", "Stone", "Poppins", "Петров", "Παππά", "Müller", "123-45"):
+        assert leak not in " ".join(t or "" for t in got.values())
+    assert "12:34:56" in got[5] and got[8] is None and got[9] == "" and "Plain 12 apples" in got[10]
+    luhn = lambda n: sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(n))) % 10
+    cards = re.match(r"(\d{4}) (\d{6}) (\d{5}) and (\d{16}), ", got[6])
+    assert luhn("".join(cards.groups()[:3])) == luhn(cards[4]) == 0 and got[6].replace(" ", "").endswith(cards[4] + "," + cards[4])
+    iban = re.match(r"[0-9A-Z ]+", got[7])[0].replace(" ", "")
+    assert iban[:2] == "DE" and int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    entities = [m[0] for t in texts for m in regex.finditer(pii.ENTITY.replace(r"\k<s>", "(?P=s)").replace(r"\k<t>", "(?P=t)"), t or "")]
+    found = spark.createDataFrame([(e, 1) for e in entities], "entity string, times long")
+    mapping = {(r.space, r.norm): r.surrogate for r in pii.surrogates(found).collect()}
+    by_hand = replaced_by_hand(texts, mapping)
+    assert [len(t or "") for t in by_hand] == [len(got[i] or "") for i in range(len(texts))]
+    assert by_hand[5:11] == [got[i] for i in range(5, 11)]
+
+
 def test_surrogates_stay_distinct(spark):
     names = [f"Mr. {a} {b}" for a in ("Ann", "Bob", "Cid", "Dan", "Eve") for b in (f"Q{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12))]
-    found = spark.createDataFrame([(names,)], "entities array<string>")
-    got = [r.surrogate for r in pii.surrogates(found).collect()]
-    assert len(got) == len(set(got)) == len(names)
+    names += [f"a{i % 10}@x{i}.org" for i in range(300)] + [f"10.0.{i}.7" for i in range(200)]
+    got = pii.surrogates(spark.createDataFrame([(n, 1) for n in names], "entity string, times long")).collect()
+    of = {space: [r.surrogate for r in got if r.space == space] for space in ("word", "email", "ip")}
+    assert {k: len(v) for k, v in of.items()} == {"word": 149, "email": 300, "ip": 200}
+    assert all(len({x.lower() for x in v}) == len(v) for v in of.values())
+    assert all(re.fullmatch(r"\d+(\.\d+){3}", x) for x in of["ip"]) and all(re.fullmatch(r"[a-z]\d@mail\d+\.example\.org", x) for x in of["email"])
+    assert not {x.lower() for x in of["word"]} & {r.norm for r in got}
+
+
+def test_a_form_with_too_few_values_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(pii, "STUCK", 2)
+    monkeypatch.setattr(pii, "_surrogate", lambda key, kind, norm, attempt: F.lit("same"))
+    with pytest.raises(ValueError):
+        pii.surrogates(spark.createDataFrame([("10.0.0.1", 1), ("10.0.0.2", 1)], "entity string, times long"))
 
 
 def test_hilbert_neighbours_touch():
