@@ -1,17 +1,19 @@
 """License scans: base phrases, and an exact containment join of word windows with license templates.
 
 A block is a window of consecutive words of a text, whatever its lines: for a template of n
-words, ceil(n / THRESHOLD) of them, so that a notice with some words put in still fits. A
-template's tokens are put in the order of their frequency over all documents, rarest first.
-A window can hold a share of at least THRESHOLD of a template's distinct words only if it
-has one of the first (size - needed + 1) tokens (prefix). Only words within a window's
-length of such a token are looked at, and there every window's distinct tokens are counted
-exactly.
+words, ceil(n / THRESHOLD) of them, so that a notice with some words put in still fits. It
+matches if it holds at least the share THRESHOLD of the template's words, each as often as
+it stands there (a multiset), and all words that the template names as its own. The
+template's words are put in the order of their frequency over all documents, rarest first; a
+window can match only if it has one of the first (size - needed + 1) of them (prefix and
+position), and only texts with as many words as are needed count (length). Only words within
+a window's length of such a word are looked at, and there every window is counted exactly.
 """
 
 from __future__ import annotations
 
 import bisect
+import collections
 import math
 
 import numpy as np
@@ -25,20 +27,28 @@ from .words import HashIndex, first_eight, hashes, joined, spans
 THRESHOLD = 0.8
 #: The base phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-#: Notices of public licenses, and their labels.
+#: Notices of public licenses, whole and their first sentences; label, words, and those that no match may lack.
 TEMPLATES = [
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc", "licensed under cc by 4 0"),
-    ("cc", "licensed under cc by nc 4 0"),
-    ("cc", "licensed under cc by sa 4 0"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("apache", "licensed under the apache license version 2 0", "apache"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at", "compliance"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license", "apache"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage", "redistribution"),
+    ("cc", "licensed under cc by 4 0", "cc by"),
+    ("cc", "licensed under cc by nc 4 0", "cc by nc"),
+    ("cc", "licensed under cc by sa 4 0", "cc by sa"),
+    ("cc", "licensed under a creative commons attribution 4 0 international license", "creative commons"),
+    ("gpl", "released under the gpl license", "gpl"),
+    ("gpl", "this work is licensed under the gnu general public license version 3", "gnu"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gnu"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details", "gnu"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "fee"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software", "fee"),
+    ("mit", "released under the mit license", "mit"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "charge"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software", "charge"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", "mozilla"),
 ]
 
 #: A-Z to lower case; bytes outside words to spaces, but a line's end stays.
@@ -47,32 +57,26 @@ IN_WORD = np.array([b not in (10, 32) for b in range(256)])
 
 
 class Templates:
-    """The templates' words and sets; counts: documents or places per word, for the order."""
+    """The templates' words and multisets; counts: places per word in all documents, for the order."""
 
-    def __init__(self, templates: list[tuple[str, str]], threshold: float, counts: dict[str, int] | None = None) -> None:
-        self.words = sorted({w for _, t in templates for w in t.split()})
+    def __init__(self, templates: list[tuple[str, str, str]], threshold: float, counts: dict[str, int] | None = None) -> None:
+        self.words = sorted({w for _, t, _ in templates for w in t.split()})
         raw, at = joined([w.encode() for w in self.words])
         self.index = HashIndex()
         self.index.add(hashes(raw, at[:-1], at[1:] - 1), first_eight(raw, at[:-1], at[1:] - 1))
         number = {w: k for k, w in enumerate(self.words)}
         counts = counts or {}
-        order = sorted(range(len(self.words)), key=lambda k: (counts.get(self.words[k], 0), self.words[k]))
-        self.rank = np.empty(len(order), np.int64)
-        self.rank[order] = np.arange(len(order))
-        self.sets, self.prefix, self.widths = [], {}, []
-        for label, t in templates:
-            tokens = sorted({number[w] for w in t.split()}, key=lambda k: self.rank[k])
-            need = math.ceil(threshold * len(tokens) - 1e-9)
-            for place, k in enumerate(tokens[: len(tokens) - need + 1]):
-                self.prefix.setdefault(k, []).append((len(self.sets), place))
-            self.sets.append((label, frozenset(tokens), need))
-            self.widths.append(math.ceil(len(t.split()) / threshold - 1e-9))
+        self.labels, self.sizes, self.needs, self.widths, self.own = [], [], [], [], []
         # by template and word; the last column is that of words in no template (-1)
-        self.member, self.early = np.zeros((2, len(self.sets), len(self.words) + 1), bool)
-        for at, (_, tokens, _) in enumerate(self.sets):
-            self.member[at, list(tokens)] = True
-        for k, places in self.prefix.items():
-            self.early[[at for at, _ in places], k] = True
+        self.copies = np.zeros((len(templates), len(self.words) + 1), np.int64)
+        self.early = np.zeros((len(templates), len(self.words) + 1), bool)
+        for at, (label, t, own) in enumerate(templates):
+            tokens = sorted((number[w] for w in t.split()), key=lambda k: (counts.get(self.words[k], 0), self.words[k]))
+            need = math.ceil(threshold * len(tokens) - 1e-9)
+            np.add.at(self.copies[at], tokens, 1)
+            self.early[at, tokens[: len(tokens) - need + 1]] = True
+            for col, v in zip((self.labels, self.sizes, self.needs, self.widths, self.own), (label, len(tokens), need, math.ceil(len(tokens) / threshold - 1e-9), {number[w] for w in own.split()}), strict=True):
+                col.append(v)
 
     def windows(self, which: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, str, float]]:
         """(text, first word, last word, label, share) of all windows that meet the threshold, of a label's that overlap the fullest.
@@ -82,22 +86,23 @@ class Templates:
         out = []
         known = np.flatnonzero(which >= 0)
         named = which[known]
-        for at, (label, tokens, need) in enumerate(self.sets):
-            width = self.widths[at]
+        for at, (label, size, need, width) in enumerate(zip(self.labels, self.sizes, self.needs, self.widths, strict=True)):
             rare = known[self.early[at][named]]
             if not len(rare):
                 continue
-            mine = self.member[at][named]
+            mine = self.copies[at][named] > 0
             places, words = known[mine], named[mine]
             after = np.searchsorted(rare, places)
             near = (rare[np.minimum(after, len(rare) - 1)] - places < width) & (after < len(rare))
             near |= (places - rare[np.maximum(after - 1, 0)] < width) & (after > 0)
             places, words = places[near], words[near]
-            # an occurrence counts in the windows that end from it on, until the word comes again or it is left behind
+            # an occurrence counts in the windows that end from it on, until its word has come as often again as it may count
             until = places + width
             order = np.argsort(words, kind="stable")
-            again = np.flatnonzero(words[order][1:] == words[order][:-1])
-            until[order[again]] = np.minimum(until[order[again]], places[order[again + 1]])
+            later = np.arange(len(order)) + self.copies[at][words[order]]
+            again = np.flatnonzero(later < len(order))
+            again = again[words[order[later[again]]] == words[order[again]]]
+            until[order[again]] = np.minimum(until[order[again]], places[order[later[again]]])
             doc = np.searchsorted(first, places, "right") - 1
             until = np.minimum(until, first[doc + 1])
             held = np.arange(1, len(places) + 1) - np.searchsorted(np.sort(until), places, "right")
@@ -108,7 +113,7 @@ class Templates:
             for stretch in np.split(hot, np.flatnonzero(apart) + 1):
                 low = max(places[stretch[0]] - width + 1, first[doc[stretch[0]]])
                 a, z = np.searchsorted(places, low), stretch[-1] + 1
-                for start, end, share in _best_windows(places[a:z].tolist(), words[a:z].tolist(), len(tokens), need, width):
+                for start, end, share in _best_windows(places[a:z].tolist(), words[a:z].tolist(), self.copies[at], self.own[at], size, need, width):
                     out.append((int(doc[stretch[0]]), start, end, label, share))
         kept: dict[tuple[int, str], list] = {}
         for w in sorted(out, key=lambda w: (-w[4], w)):  # a label's templates may share words of one place
@@ -118,37 +123,26 @@ class Templates:
                 near.insert(k, w)
         return sorted(w for near in kept.values() for w in near)
 
-    def matches(self, block: set[int], size: int) -> dict[str, float]:
-        """Labels whose template one block holds to the threshold, with the share; size: its distinct words."""
-        out: dict[str, float] = {}
-        seen: set[int] = set()
-        for k in sorted(block, key=lambda k: self.rank[k]):
-            for s, place in self.prefix.get(k, ()):
-                label, tokens, need = self.sets[s]
-                if s in seen or size < need or len(tokens) - place < need:
-                    continue
-                seen.add(s)  # k is the block's first token of this template, as both are in rank order
-                common = len(tokens & block)
-                if common >= need:
-                    out[label] = max(out.get(label, 0.0), common / len(tokens))
-        return out
-
-
-def _best_windows(places: list[int], words: list[int], size: int, need: int, width: int) -> list[tuple[int, int, float]]:
+
+def _best_windows(places: list[int], words: list[int], copies: np.ndarray, own: set[int], size: int, need: int, width: int) -> list[tuple[int, int, float]]:
     """First word, last word and share of windows one after another, each fuller than those after it that overlap it, so the fullest of all is among them."""
     out, i = [], 0
     while i < len(places):
-        last: dict[int, int] = {}
+        held: dict[int, int] = {}  # occurrences that count and their places, oldest first
+        of: dict[int, collections.deque] = collections.defaultdict(collections.deque)
         best, stop = None, None
         while i < len(places) and (stop is None or places[i] < stop):
-            last.pop(words[i], None)
-            last[words[i]] = places[i]  # in order of place, so the first is the oldest
-            while places[i] - (oldest := next(iter(last.items())))[1] >= width:
-                del last[oldest[0]]
-            if len(last) >= need and (best is None or len(last) > best[0]):
-                best = len(last), oldest[1], places[i], i
+            if len(of[words[i]]) == copies[words[i]]:
+                del held[of[words[i]].popleft()]
+            held[i] = places[i]
+            of[words[i]].append(i)
+            while places[i] - places[oldest := next(iter(held))] >= width:
+                del held[oldest]
+                of[words[oldest]].popleft()
+            if len(held) >= need and (best is None or len(held) > best[0]) and all(of[w] for w in own):
+                best = len(held), places[oldest], places[i], i
                 stop = places[i] + width
-                if len(last) == size:
+                if len(held) == size:
                     break
             i += 1
         if best is None:
@@ -172,7 +166,7 @@ def sliced(batches):
             yield b.column(0)[low:high], every[low:high]
 
 
-def template_counts(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> dict[str, int]:
+def template_counts(docs: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> dict[str, int]:
     """How often each word of the templates stands in all documents (one number a word reaches the driver)."""
 
     def run(batches):
@@ -189,11 +183,11 @@ def template_counts(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
     return {w: n for w, n in rows}
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES) -> DataFrame:
+def scan(docs: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES, threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES) -> DataFrame:
     """Per document: word count, places of base phrases, labels, best score and matching windows.
 
-    Null or empty text: no words, labels '' and score 0. A base phrase scores 1. Repeated
-    rows each have their result. blocks: (line of the first word, label, share) of every
+    Null or empty text: no words, labels '' and score 0. A base phrase scores 1. Repeated rows
+    and rows with a null doc_id each have their result; an empty table has none. blocks: (line of the first word, label, share) of every
     window that meets the threshold, of a label's that overlap the fullest.
     """
     counts = template_counts(docs, templates, threshold)
