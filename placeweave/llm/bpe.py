@@ -112,6 +112,8 @@ class WordBpe:
             self.tokens[i] = token
         for a in spec["added_tokens"]:
             self.tokens[a["id"]] = a["content"]
+        if len(self.tokens) > 1 << 16:
+            raise ValueError(f"{path}: {len(self.tokens)} tokens; ids are kept in 16 bits")
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         chars = byte_chars()
@@ -248,7 +250,7 @@ class TextEncoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids as uint16 and where each text's begin (one more entry than texts)."""
-        if self.bpe.special_split is not None and any(t and "<|" in t for t in texts):
+        if self.bpe.special_split is not None and any(t and any(s in t for s in self.bpe.special) for t in texts):
             return self._with_special(texts)
         if self.index.n > CACHE_ENTRIES or self.used > CACHE_IDS:
             self._clear()
@@ -260,12 +262,13 @@ class TextEncoder:
         key, check = hashes(buf, starts, ends), first_eight(buf, starts, ends)
         which = self.index.get(key, check)
         new = np.flatnonzero(which < 0)
-        if len(new):
+        raw = buf.tobytes() if len(new) else b""
+        while len(new):  # again only where two chunks have one hash
             _, first = np.unique(key[new], return_index=True)
             first = new[first]
-            raw = buf.tobytes()
             self._learn(key[first], check[first], [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
             which[new] = self.index.get(key[new], check[new])
+            new = new[which[new] < 0]
         ids, sizes = gathered(self.flat, self.offset, self.size, which)
         return ids, np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(starts, at)]
 
@@ -348,7 +351,11 @@ def decode_documents(encoded_docs: DataFrame, path: str | None = None) -> DataFr
 
 
 def document_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per document: doc_id, n_tokens, sha256 of its decimal ids and of the text decoded from them."""
+    """Per document: doc_id, n_tokens, sha256 of its decimal ids and of the text decoded from them.
+
+    Null text: empty, no tokens. Repeated rows and null ids each have their row; an empty
+    table gives an empty one.
+    """
     path = path or vocabulary_path()
 
     def run(batches):

@@ -14,11 +14,13 @@ _OWN_DIRS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where the session names none (tests on one machine) a local folder is used.
+    Only a session on one machine may name none; it gets a folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     key = spark.sparkContext.applicationId
     if key not in _OWN_DIRS:
         _OWN_DIRS[key] = tempfile.mkdtemp(prefix="placeweave-")
@@ -64,8 +66,14 @@ def crc_mod(n: int, id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
 
 
-def tasks_of(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+#: Stands for a null id where ids are numbers to sort by; a real id of that value comes back as null.
+NO_ID = -(2**63)
+
+
+def tasks_by_bytes(df: DataFrame, text_col: str = "text", each: int = 64 << 20) -> int:
+    """How many tasks a shuffle of these texts needs: one for so many bytes, and no fewer than the session's."""
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
 
 
 def in_slices(texts: list[str], most_chars: int = 2_000_000):

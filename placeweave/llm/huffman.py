@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoded, vocabulary_path
-from .common import discard, id_text, new_path, tasks_of, written
+from .common import NO_ID, discard, id_text, new_path, tasks_by_bytes, written
 
 LIMIT = 16
 STRIDE = 256
@@ -171,17 +171,17 @@ def write_token_files(docs: DataFrame, end_id: int = 2, path: str | None = None)
 
     Documents whose input partitions already hold disjoint ranges of doc_id stay where they
     are; others are range-partitioned by doc_id first. A null text has the end id alone.
-    A null doc_id sorts as the smallest long.
+    A null doc_id sorts first; it is kept as the smallest long, which read_token_files gives back as null.
     """
     spark = docs.sparkSession
     path = path or vocabulary_path()
-    docs = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63))))
+    docs = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     blocks = written(token_blocks(docs, end_id, path), "tokens")
     ranges = blocks.groupBy("part").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     order = in_order([tuple(r) for r in ranges.collect()])
     if order is None:
         discard(blocks)
-        blocks = written(token_blocks(docs.repartitionByRange(tasks_of(docs), "doc_id"), end_id, path), "tokens")
+        blocks = written(token_blocks(docs.repartitionByRange(tasks_by_bytes(docs), "doc_id"), end_id, path), "tokens")
         ranges = blocks.groupBy("part").agg(F.min("low").alias("low"), F.max("high").alias("high"))
         order = [p[0] for p in sorted((tuple(r) for r in ranges.collect()), key=lambda p: (p[1], p[2]))]
 
@@ -240,10 +240,15 @@ def read_token_files(spark, folder: str, ranks: dict[int, int]) -> DataFrame:
                 yield pa.record_batch([pa.array(np.full(n, part), pa.int32()), pa.array(np.full(n, block), pa.int32()), pa.array(docs), pa.array(ends - sizes + before[part], pa.int64()), pa.array(sizes, pa.int64()), pa.array(crc, pa.int64())], names=["part", "block", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     rows = blocks.select("part", "block", "data").mapInArrow(decode, "part int, block int, doc_id long, at long, n_tokens long, ids_crc32 long")
-    return rows.join(starts, ["part", "block"]).select("doc_id", (F.col("at") + F.col("in_part")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.join(starts, ["part", "block"]).select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), (F.col("at") + F.col("in_part")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_file_digests(docs: DataFrame, end_id: int = 2, path: str | None = None) -> DataFrame:
+    """Write token files and read them back: doc_id, start, n_tokens and ids_crc32 of every row.
+
+    Null text: the end id alone. A null doc_id comes first and stays null; rows of one doc_id
+    follow each other in any order, each with its own start. An empty table gives an empty one.
+    """
     return read_token_files(docs.sparkSession, *write_token_files(docs, end_id, path))
 
 

@@ -19,6 +19,8 @@ from .common import crc_mod, id_text
 
 FEATURES = 1 << 13
 MAX_TRAIN = 4000
+#: Rows that the sample takes of a label, where it has as many.
+LEAST = 50
 ORDERS = (1, 2, 3)
 UND = "und"
 
@@ -126,25 +128,34 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", max_rows: int = MAX_TRAIN) -> Model:
-    """Fit on rows with a non-null label and a letter in the text; no such rows: a model that says und."""
-    rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
+    """Fit on rows with a non-null label and a letter in the text; no such rows: a model that says und.
+
+    At most max_rows are taken, by a hash of id and text, so the table's layout does not
+    matter; rare labels get a larger share of theirs. Repeated rows count each time.
+    """
+    turn = F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`"), F.lit("train"))
+    rows = labelled.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{label_col}`").cast("string").alias("label"), turn.alias("turn"))
+    rows = rows.where("label IS NOT NULL AND text IS NOT NULL")
+    sizes = rows.groupBy("label").count()
     total = rows.count()
-    share = min(1.0, 1.1 * max_rows / max(total, 1))
-    rows = rows.where(F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("train")), F.lit(1_000_000)) < int(share * 1_000_000))
+    share = F.greatest(F.lit(1.1 * max_rows / max(total, 1)), 1.1 * LEAST / F.col("count"))
+    sizes = F.broadcast(sizes.select("label", (F.least(share, F.lit(1.0)) * 1_000_000).cast("long").alias("below")))  # one row a language
+    rows = rows.join(sizes, "label").where(F.pmod("turn", F.lit(1_000_000)) < F.col("below"))
 
     def features(batches):
         for b in batches:
-            at, n, label = [], [], []
-            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            at, n, label, turns = [], [], [], []
+            for t, y, turn in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 c = ngram_counts(t)
                 if c is not None:
                     k = np.flatnonzero(c)
                     at.append(k.astype(np.int16))
                     n.append(c[k].astype(np.int32))
                     label.append(y)
-            yield pa.record_batch([pa.array(at, pa.list_(pa.int16())), pa.array(n, pa.list_(pa.int32())), pa.array(label, pa.string())], names=["at", "n", "label"])
+                    turns.append(turn)
+            yield pa.record_batch([pa.array(at, pa.list_(pa.int16())), pa.array(n, pa.list_(pa.int32())), pa.array(label, pa.string()), pa.array(turns, pa.int64())], names=["at", "n", "label", "turn"])
 
-    got = rows.select(text_col, F.col(label_col).cast("string")).mapInArrow(features, "at array<short>, n array<int>, label string").limit(max_rows).toArrow()
+    got = rows.select("text", "label", "turn").mapInArrow(features, "at array<short>, n array<int>, label string, turn long").orderBy("turn", "label").limit(max_rows).toArrow()
     at = [np.array(x, np.int64) for x in got["at"].to_pylist()]
     n = [np.array(x, np.float64) for x in got["n"].to_pylist()]
     labels = got["label"].to_pylist()
@@ -180,14 +191,21 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def predict_held_out(docs: DataFrame) -> DataFrame:
-    """Train on the rows outside fold 2 of 4 and predict all."""
+    """Train on the rows outside fold 2 of 4 and predict all: doc_id, held_out, lang_pred, score.
+
+    Null texts and texts without a letter are und with score 0. Null ids are in no fold that
+    is held out (null there); repeated rows each have their row; an empty table has none.
+    """
     model = train(docs.where(crc_mod(4) != 2))
     out = predict(docs, model)
     return out.select("doc_id", (crc_mod(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
-    """docs, all columns, without those whose language the model can't tell (und or a lower score)."""
+    """docs, all columns, without those whose language the model can't tell (und or a lower score).
+
+    Null texts go, as they have no letter. Repeated rows stay or go together.
+    """
     names = docs.columns
 
     def run(batches):

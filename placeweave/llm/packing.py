@@ -4,12 +4,15 @@ Pieces are dealt by a hash into groups of about GROUP pieces, whose number grows
 table. In each group every piece first goes to the fullest bin that it fits (best fit,
 longest first). Then bins that are not full trade contents: one piece moves, one is
 exchanged for one, or two for one, whenever that raises the sum of squared fills. Filling
-the fuller bins drains the emptiest one, until it is empty and goes. The bins that a
-group leaves below FULL are opened again and packed once more over larger groups.
+the fuller bins drains the emptiest one, until it is empty and goes; passes are repeated
+until no trade helps. The bins that the groups leave below FULL are opened and packed again
+in fewer groups, until one group holds them all or their number no longer falls.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import zlib
 
 import numpy as np
@@ -82,7 +85,16 @@ def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> lis
     """
     size = sizes.tolist()
     fill = [sum(size[i] for i in b) for b in bins]
-    open_bins = sorted((k for k in range(len(bins)) if fill[k] < capacity), key=lambda k: (fill[k], k))
+    traded = True
+    while traded:
+        traded = _pass(bins, fill, size, capacity)
+    return [b for b in bins if b]
+
+
+def _pass(bins: list[list[int]], fill: list[int], size: list[int], capacity: int) -> bool:
+    """Every bin with room gives once, the emptiest first; whether anything was traded."""
+    open_bins = sorted((k for k in range(len(bins)) if bins[k] and fill[k] < capacity), key=lambda k: (fill[k], k))
+    traded = False
     for donor in open_bins:
         if not bins[donor]:
             continue
@@ -91,12 +103,12 @@ def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> lis
                 if taker == donor or not bins[taker] or fill[taker] < fill[donor]:
                     continue
                 while bins[donor] and fill[taker] < capacity and _trade(bins, fill, size, donor, taker, capacity):
-                    pass
+                    traded = True
                 if not bins[donor]:
                     break
             if not bins[donor]:
                 break
-    return [b for b in bins if b]
+    return traded
 
 
 def _trade(bins: list[list[int]], fill: list[int], size: list[int], donor: int, taker: int, capacity: int) -> bool:
@@ -141,31 +153,39 @@ def _by_size(pieces: list[int], size: list[int], most: int) -> list[int]:
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, group: int = GROUP) -> DataFrame:
-    """pieces (length long and any other columns) with sequence_id and offset.
+    """pieces (length long and any other columns) with sequence_id and offset, which replace columns of those names.
 
-    Lengths are 1 to capacity. Equal pieces are packed one by one. Empty in, empty out.
+    Lengths are 1 to capacity; none may be null. Equal pieces and repeated rows are packed one
+    by one. Empty in, empty out.
     """
-    spark = pieces.sparkSession
-    held = written(pieces.withColumn("_at", F.monotonically_increasing_id()), "pieces")
-    n = held.count()
-    first = _packed(held, capacity, max(1, -(-n // group)), 0)
-    first = written(first, "packed")
-    fill = F.col("length")
-    rest_bins = first.groupBy("sequence_id").agg(F.sum(fill).alias("_fill")).where(F.col("_fill") < int(FULL * capacity)).select("sequence_id")
-    rest_bins = written(rest_bins, "open_bins")
-    kept = first.join(rest_bins, "sequence_id", "left_anti")
-    rest = first.join(rest_bins, "sequence_id", "left_semi").drop("sequence_id", "offset")
-    left = rest.count()
-    again = _packed(rest, capacity, max(1, -(-left // group)), 1)
-    return kept.select(again.columns).unionByName(again).drop("_at") if left else first.drop("_at")
-
-
-def _packed(pieces: DataFrame, capacity: int, groups: int, round_no: int) -> DataFrame:
+    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    inner = [f"c{i}" for i in range(len(names))]
+    length = inner[names.index("length")]
+    plain = pieces.select(*(F.col(f"`{c}`") for c in names)).toDF(*inner)
+    left = written(plain.withColumn("at", F.monotonically_increasing_id()), "pieces")
+    done, n, before = [], left.count(), None
+    for turn in itertools.count():
+        groups = max(1, -(-n // group))
+        packed = written(_packed(left, length, capacity, groups, turn), "packed")
+        fill = packed.groupBy("sequence_id").agg(F.sum(length).alias("fill"))
+        loose = written(fill.where(F.col("fill") < int(FULL * capacity)).select("sequence_id"), "open_bins")
+        bins = loose.count()
+        if groups == 1 or not bins or (before is not None and bins >= before):
+            done.append(packed)
+            break
+        done.append(packed.join(loose, "sequence_id", "left_anti"))
+        left, before = packed.join(loose, "sequence_id", "left_semi").drop("sequence_id", "offset"), bins
+        n = left.count()
+    out = functools.reduce(DataFrame.unionByName, [d.select(*inner, "sequence_id", "offset") for d in done])
+    return out.toDF(*names, "sequence_id", "offset")
+
+
+def _packed(pieces: DataFrame, length: str, capacity: int, groups: int, turn: int) -> DataFrame:
     columns = pieces.columns
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_at", kind="stable", ignore_index=True)
-        sizes = pdf["length"].to_numpy(np.int64)
+        pdf = pdf.sort_values("at", kind="stable", ignore_index=True)
+        sizes = pdf[length].to_numpy(np.int64)
         bins = local_search(best_fit(sizes, capacity), sizes, capacity)
         bin_of, offset = np.empty(len(pdf), np.int64), np.empty(len(pdf), np.int64)
         for k, b in enumerate(bins):
@@ -173,14 +193,19 @@ def _packed(pieces: DataFrame, capacity: int, groups: int, round_no: int) -> Dat
             for i in b:
                 bin_of[i], offset[i] = k, at
                 at += sizes[i]
-        pdf["sequence_id"] = (np.int64(key[0]) * 2 + round_no) * (1 << 24) + bin_of
+        pdf["sequence_id"] = (np.int64(turn) << 56) + (np.int64(key[0]) << 20) + bin_of
         pdf["offset"] = offset
         return pdf[[*columns, "sequence_id", "offset"]]
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("_at", F.lit(round_no)), F.lit(groups)))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return dealt.groupBy("_group").applyInPandas(lambda key, pdf: run(key, pdf.drop(columns="_group")), f"{fields}, sequence_id long, offset long")
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("at", F.lit(turn)), F.lit(groups)))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
+    return dealt.groupBy("group").applyInPandas(lambda key, pdf: run(key, pdf.drop(columns="group")), f"{fields}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | None = None) -> DataFrame:
+    """The pieces of all documents (see pieces_of) with sequence_id and offset.
+
+    Null and empty texts have one piece, the end id; null and repeated doc_ids stay as they
+    are; other columns are left behind; an empty table gives an empty one.
+    """
     return pack(pieces_of(docs, capacity, end_id, path), capacity)

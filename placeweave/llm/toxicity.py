@@ -3,9 +3,16 @@
 Suspicious tokens (letters mixed with look-alike signs, characters spaced out, letters
 repeated) become lattices of characters: a sign may stand for a letter, a repeated letter
 for one, a separator for nothing or for the end of a word, each at a price. Viterbi decoding
-under a bigram model of the characters of all documents and the learned words restores the
-likeliest words. Restored and plain words then feed a logistic model on log odds of words and
-word beginnings, learned from at most MAX_TRAIN labelled rows.
+under a trigram model of the characters of all documents and the learned words restores the
+likeliest words. A token without signs, separators or doubled letters has one path, itself;
+one with doubled letters is decoded where it could say a learned word, which then has the
+same letters once repeats are taken out.
+
+Restored and plain words give two figures: the sum of the log odds of strong words (whole
+words, else their longest strong beginning), each once, and the mean log odds, of both
+signs, of all words that the labelled rows know. A logistic model weighs the two. Both are
+learned from at most MAX_TRAIN labelled rows, whose own part in the odds is left out when
+the logistic model is fitted.
 """
 
 from __future__ import annotations
@@ -21,15 +28,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, id_text, in_slices, written
+from .common import crc_mod, discard, id_text, in_slices, written
 from .words import HashIndex, first_eight, hashes, joined, mix, spans
 
 MAX_TRAIN = 8000
 #: Word beginnings that serve as features, in bytes.
 BEGINNINGS = (4, 5, 6, 7)
-SURPRISE = 16.0
+SURPRISE, LEAST_ODDS = 16.0, 1.0
+#: Log odds of a word count up to here, and so do those of all strong words together: one sure word is enough.
+SURE = 8.0
+#: Entries of the decoder's memory, which is emptied when it is full.
+REMEMBERED = 200_000
+#: Labelled rows that must have a word, for its odds of either sign to count.
+KNOWN = 5
 #: Signs and the letters that they may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou"}
+#: Signs of several characters, longest first; each becomes one private character.
+DRAWN = {"\\/\\/": "w", "|-|": "h", "|_|": "u", "()": "o", "|<": "k", "/\\": "a", "\\/": "v"}
+PRIVATE = {sign: chr(0xE010 + k) for k, sign in enumerate(DRAWN)}
+LOOKALIKES |= {PRIVATE[sign]: letter for sign, letter in DRAWN.items()}
 #: From here on scripts have no alphabet; their characters count as one in the character model.
 ONE_CLASS = "\u2e80"
 SEPARATORS = " .-_*~/,'\"^\n\r\t\v\f"
@@ -38,6 +55,7 @@ SWAP, SKIP_SEPARATOR, SKIP_REPEAT, KEEP_SIGN, END_WORD, LEARNED = 1.0, 0.3, 0.4,
 WORD_BYTE = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
 #: Signs that stand for letters; of those beyond ASCII the last byte.
 SIGN_BYTE = np.isin(np.arange(256), [c.encode()[-1] for c in LOOKALIKES])
+DOUBLED = re.compile(rb"([a-z])\1+")
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _sign = re.escape("".join(LOOKALIKES))
 _single = rf"(?:[^\W_]|[{_sign.replace(re.escape('*'), '')}])"
@@ -51,13 +69,31 @@ EDGES = "!|(+*", "".join(c for c in LOOKALIKES if not c.isdigit())
 
 @dataclass
 class CharModel:
-    """Bigram log prices of characters, smoothed, '^' before and '$' after a word; learned words and beginnings as a tree."""
+    """Trigram log prices of characters, mixed with bigrams, '^' before and '$' after a word; learned words and beginnings as a tree."""
 
-    counts: dict[str, float] = field(default_factory=dict)
-    totals: dict[str, float] = field(default_factory=dict)
-    #: By node: the next nodes by character, its own character, whether a word and whether a beginning ends there.
+    counts: dict[str, int] = field(default_factory=dict)
+    #: By node: the next nodes by character, its last two characters, whether a word and whether a beginning ends there.
     tree: list[tuple[dict[str, int], str, list[bool]]] = field(default_factory=lambda: [({}, "^", [False, False])])
     learned: int = 0
+    #: Prices and restored tokens so far; memory only.
+    prices: dict[str, float] = field(default_factory=dict, repr=False)
+    said: dict[str, str] = field(default_factory=dict, repr=False)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"prices": {}, "said": {}}
+
+    @functools.cached_property
+    def sums(self) -> dict[str, int]:
+        """Counts of pairs, and of the contexts of one and two characters (marked by a trailing space)."""
+        out: dict[str, int] = collections.Counter()
+        for t, n in self.counts.items():
+            out[t[1:]] += n
+            out[t[1] + " "] += n
+            out[t[:2] + " "] += n
+            if t[0] == "^":
+                out[t[:2]] += n
+                out["^ "] += n
+        return dict(out)
 
     def learn(self, words: list[str]) -> None:
         """Words, and beginnings marked by a leading space, that the decoder knows as such."""
@@ -66,18 +102,28 @@ class CharModel:
             for c in w.strip():
                 if c not in self.tree[at][0]:
                     self.tree[at][0][c] = len(self.tree)
-                    self.tree.append(({}, c, [False, False]))
+                    self.tree.append(({}, self.tree[at][1][-1] + c, [False, False]))
                 at = self.tree[at][0][c]
             self.tree[at][2][w.startswith(" ")] = True
         self.learned += len(words)
 
-    def price(self, a: str, b: str) -> float:
-        a, b = min(a, ONE_CLASS), min(b, ONE_CLASS)
-        return -math.log((self.counts.get(a + b, 0) + 0.1) / (self.totals.get(a, 0) + 10.0))
+    def price(self, before: str, c: str) -> float:
+        """Of c after one ('^') or two characters."""
+        out = self.prices.get(before + c)
+        if out is None:
+            out = self.prices[before + c] = self._price("".join(min(x, ONE_CLASS) for x in before), min(c, ONE_CLASS))
+        return out
+
+    def _price(self, before: str, c: str) -> float:
+        have = self.sums
+        one = (have.get(before[-1] + c, 0) + 0.1) / (have.get(before[-1] + " ", 0) + 10.0)
+        if len(before) < 2:
+            return -math.log(one)
+        return -math.log((self.counts.get(before + c, 0) + 4 * one) / (have.get(before + " ", 0) + 4))
 
 
 def char_model(docs: DataFrame) -> CharModel:
-    """Counts of the character pairs of the words of all documents; what reaches the driver is bounded by the alphabets."""
+    """Counts of three characters in a row in the words of all documents; what reaches the driver is bounded by the alphabets."""
     many = ord(ONE_CLASS) + 1
 
     def run(batches):
@@ -93,31 +139,29 @@ def char_model(docs: DataFrame) -> CharModel:
                 used = np.flatnonzero(np.bincount(chars, minlength=many))
                 place = np.zeros(many, np.int64)
                 place[used] = np.arange(len(used))
-                pairs = place[chars[:-1]] * len(used) + place[chars[1:]]
-                if len(used) <= 1000:
-                    n = np.bincount(pairs, minlength=len(used) ** 2)
-                    pairs = np.flatnonzero(n)
-                    n = n[pairs]
+                at = place[chars]
+                threes = ((at[:-2] * len(used) + at[1:-1]) * len(used) + at[2:])[chars[1:-1] > 0]
+                if len(used) <= 120:
+                    n = np.bincount(threes, minlength=len(used) ** 3)
+                    threes = np.flatnonzero(n)
+                    n = n[threes]
                 else:
-                    pairs, n = np.unique(pairs, return_counts=True)
-                for x, y, k in zip(used[pairs // len(used)].tolist(), used[pairs % len(used)].tolist(), n.tolist(), strict=True):
-                    if x or y:
-                        total[x, y] += k
-        yield pa.record_batch([pa.array([x for x, _ in total], pa.int32()), pa.array([y for _, y in total], pa.int32()), pa.array(list(total.values()), pa.int64())], names=["a", "b", "n"])
+                    threes, n = np.unique(threes, return_counts=True)
+                x, y, w = threes // len(used) ** 2, threes // len(used) % len(used), threes % len(used)
+                for *key, k in zip(used[x].tolist(), used[y].tolist(), used[w].tolist(), n.tolist(), strict=True):
+                    total[tuple(key)] += k
+        cols = [pa.array([t[i] for t in total], pa.int32()) for i in range(3)]
+        yield pa.record_batch([*cols, pa.array(list(total.values()), pa.int64())], names=["a", "b", "c", "n"])
 
-    m = CharModel()
-    for x, y, n in id_text(docs).select("text").mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n")).collect():
-        first = chr(x) if x else "^"
-        m.counts[first + (chr(y) if y else "$")] = n
-        m.totals[first] = m.totals.get(first, 0) + n
-    return m
+    rows = id_text(docs).select("text").mapInArrow(run, "a int, b int, c int, n long").groupBy("a", "b", "c").agg(F.sum("n")).collect()
+    return CharModel({(chr(x) if x else "^") + chr(y) + (chr(w) if w else "$"): n for x, y, w, n in rows})
 
 
 def restore(token: str, model: CharModel) -> str:
     """The cheapest words for a token; letters are kept, or dropped where they repeat the last one.
 
-    A state is the last character of a word outside the tree, '^' before a word, or a node of
-    the tree; a learned word costs the same whichever it is, and no more for its characters.
+    A state is the last two characters of a word outside the tree, '^' before a word, or a node
+    of the tree; a learned word costs the same whichever it is, and no more for its characters.
     Gaps wider than the token's narrowest end a word at no price.
     """
     token = token.lower()
@@ -149,10 +193,10 @@ def restore(token: str, model: CharModel) -> str:
             last = last if inside else state
             for c, extra in choices:
                 if not inside or begins:
-                    put(c, price + extra + model.price(last, c), (trail, c))
+                    put(last[-1] + c, price + extra + model.price(last, c), (trail, c))
                 if c in nexts and (inside or state == "^"):
                     put(nexts[c], price + extra + (0.0 if inside else enter), (trail, c))
-                if c == last:
+                if c == last[-1]:
                     put(state, price + extra + SKIP_REPEAT, trail)
             if ch in SEPARATORS:
                 put(state, price + SKIP_SEPARATOR, trail)
@@ -222,126 +266,222 @@ def candidates(text: str) -> list[str]:
 
 def restored_words(text: str, model: CharModel) -> list[str]:
     """What the suspicious tokens of a text most likely say."""
-    return [w for c in dict.fromkeys(candidates(text)) if (w := restore(c, model)) and w != c.lower()]
+    out = []
+    if len(model.said) > REMEMBERED or len(model.prices) > REMEMBERED:
+        model.said.clear()
+        model.prices.clear()
+    for c in dict.fromkeys(candidates(text)):
+        if (w := model.said.get(c)) is None:
+            w = restore(c, model)
+            if len(c) < 64:
+                model.said[c] = w
+        if w and w != c.lower():
+            out.append(w)
+    return out
+
+
+def squeezed(word: bytes) -> bytes:
+    return DOUBLED.sub(rb"\1", word)
+
+
+def spelled(text: str) -> str:
+    """Signs of several characters as one private character each."""
+    for sign, one in PRIVATE.items():
+        if sign in text:
+            text = text.replace(sign, one)
+    return text
 
 
 @dataclass
 class Model:
-    words: list[bytes]  # whole words, and beginnings marked by a leading space
-    weights: np.ndarray
-    bias: float
+    words: list[bytes]  # strong whole words, and beginnings marked by a leading space
+    bad: np.ndarray  # labelled rows of either kind that have each
+    good: np.ndarray
+    known: tuple[np.ndarray, np.ndarray]  # hash and first eight bytes of every known word
+    known_bad: np.ndarray
+    known_good: np.ndarray
+    rows: tuple[int, int]  # labelled rows: toxic, others
+    weights: np.ndarray  # of the sum, of the mean, and the offset
     chars: CharModel
 
+    def odds(self, bad: np.ndarray, good: np.ndarray, toxic: int | None = None) -> np.ndarray:
+        """Log odds; toxic: without a row of that label that has the word."""
+        a, b = (toxic == 1), (toxic == 0)
+        return np.clip(np.log((np.maximum(bad - a, 0) + 0.5) / (self.rows[0] - a + 1)) - np.log((np.maximum(good - b, 0) + 0.5) / (self.rows[1] - b + 1)), -SURE, SURE)
+
     @functools.cached_property
     def lookup(self):
         whole = [w for w in self.words if not w.startswith(b" ")]
         buf, at = joined(whole)
         index = HashIndex()
         index.add(hashes(buf, at[:-1], at[1:] - 1), first_eight(buf, at[:-1], at[1:] - 1))
-        number = {w: k for k, w in enumerate(self.words)}
+        number = self.number
         starts = {}
-        for size in BEGINNINGS:
+        for size in sorted(BEGINNINGS, reverse=True):
             mine = sorted((int.from_bytes(w[1:], "little"), number[w]) for w in self.words if w.startswith(b" ") and len(w) == size + 1)
             starts[size] = np.array([k for k, _ in mine], np.uint64), np.array([v for _, v in mine], np.int64)
-        return index, np.array([number[w] for w in whole], np.int64), starts
+        known = HashIndex(max(16, int(4 * len(self.known[0])).bit_length()))
+        known.add(*self.known)
+        return index, np.array([number[w] for w in whole], np.int64), starts, known
+
+    @functools.cached_property
+    def number(self) -> dict[bytes, int]:
+        return {w: k for k, w in enumerate(self.words)}
+
+    @functools.cached_property
+    def plain(self) -> frozenset[bytes]:
+        """Strong words and beginnings without repeats, beginnings as they stand in a word without repeats."""
+        return frozenset(squeezed(w) for w in self.words)
+
+    def figures(self, texts: list[str], toxic: list[int] | None = None) -> np.ndarray:
+        """Two columns a text: the sum and the mean; toxic: labels of texts that were learned from."""
+        out = []
+        which = [None] if toxic is None else [0, 1]
+        strong = {y: self.odds(self.bad, self.good, y) for y in which}
+        weak = {y: self.odds(self.known_bad, self.known_good, y) for y in which}
+        for a, z in in_slices(texts):
+            (doc, feature), (doc_k, feature_k) = hits(texts[a:z], self)
+            label = np.full(z - a, -1) if toxic is None else np.array(toxic[a:z])
+            total, mean = np.zeros(z - a), np.zeros(z - a)
+            for y in which:
+                mine = label == (-1 if y is None else y)
+                total += np.where(mine, np.bincount(doc, strong[y][feature], z - a), 0.0)
+                mean += np.where(mine, np.bincount(doc_k, weak[y][feature_k], z - a), 0.0)
+            out.append(np.stack([np.clip(total, -SURE, SURE), mean / np.maximum(np.bincount(doc_k, minlength=z - a), 1)], 1))
+        return np.concatenate(out) if out else np.empty((0, 2))
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        seen = [np.unique(f) for a, z in in_slices(texts) for f in features_of(texts[a:z], self)]
-        z = np.array([self.weights[f].sum() for f in seen], float) + self.bias
+        z = self.figures(texts) @ self.weights[:2] + self.weights[2]
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def features_of(texts: list[str], m: Model) -> list[np.ndarray]:
-    """Numbers of the model's features in each text, restored words included."""
+def hits(texts: list[str], m: Model) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """(text, number) of the strong features of each text's different words, and of every known word, restored words included."""
+    texts = [spelled(t) for t in texts]
     raw = [fold(t) for t in texts]
     for k in np.flatnonzero(suspects(*joined(raw))).tolist():
         if more := restored_words(texts[k], m.chars):
             raw[k] += b"\n" + fold(" ".join(more))
     buf, at = joined(raw)
+    index, numbers, beginnings, known = m.lookup
     starts, ends = spans(WORD_BYTE[buf])
-    index, numbers, beginnings = m.lookup
-    head = first_eight(buf, starts, ends)
-    whole = index.get(hashes(buf, starts, ends), head)
-    where, what = [np.flatnonzero(whole >= 0)], [numbers[whole[whole >= 0]]]
-    for size, (keys, values) in beginnings.items():
+    h, head = hashes(buf, starts, ends), first_eight(buf, starts, ends)
+    whole = index.get(h, head)
+    feature = np.where(whole >= 0, np.append(numbers, -1)[whole], -1)
+    for size, (keys, values) in beginnings.items():  # longest first
         if len(keys):
-            part = np.where(ends - starts >= size, head & np.uint64((1 << (8 * size)) - 1), np.uint64(0))
+            part = np.where((feature < 0) & (ends - starts >= size), head & np.uint64((1 << (8 * size)) - 1), np.uint64(0))
             k = np.minimum(np.searchsorted(keys, part), len(keys) - 1)
-            hit = np.flatnonzero(keys[k] == part)
-            where.append(hit)
-            what.append(values[k[hit]])
-    where, what = np.concatenate(where), np.concatenate(what)
-    doc = np.searchsorted(at, starts[where], "right") - 1
-    order = np.argsort(doc, kind="stable")
-    cuts = np.searchsorted(doc[order], np.arange(1, len(texts)))
-    return np.split(what[order], cuts)
+            feature = np.where(keys[k] == part, values[k], feature)
+    doc = np.searchsorted(at, starts, "right") - 1
+    twice = np.flatnonzero((buf[1:] == buf[:-1]) & (buf[1:] >= 97) & (buf[1:] <= 122))
+    there = np.unique(np.searchsorted(starts, twice, "right") - 1)
+    there = there[feature[there] < 0] if len(starts) else there
+    _, first, inverse = np.unique(h[there], return_index=True, return_inverse=True)
+    said = np.array([_doubled(buf[starts[i] : ends[i]].tobytes(), m) for i in there[first].tolist()], np.int64)
+    feature[there] = said[inverse] if len(there) else feature[there]
+    strong = np.flatnonzero(feature >= 0)
+    once = np.unique(np.stack([doc[strong], feature[strong], h[strong].view(np.int64)]), axis=1) if len(strong) else np.empty((3, 0), np.int64)
+    seen = known.get(h, head)
+    some = np.flatnonzero(seen >= 0)
+    return (once[0], once[1]), (doc[some], seen[some])
+
+
+def _doubled(word: bytes, m: Model) -> int:
+    """The strong feature of what a word with doubled letters most likely says, or -1."""
+    short = squeezed(word)
+    if short not in m.plain and not any(b" " + short[:k] in m.plain for k in range(2, max(BEGINNINGS) + 1)):
+        return -1
+    said = restore(word.decode("utf-8", "ignore"), m.chars).encode()
+    for w in (said, *(b" " + said[:k] for k in sorted(BEGINNINGS, reverse=True) if len(said) >= k)):
+        if w in m.number:
+            return m.number[w]
+    return -1
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Model:
-    """Fit on documents joined with labels (doc_id, toxic 0 or 1); without both kinds: a model that scores 0."""
-    marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    total = marks.count()
-    share = min(1.0, 1.1 * max_rows / max(total, 1))
-    chosen = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxic")), F.lit(1_000_000)) < int(share * 1_000_000)
-    rows = id_text(docs.where(chosen)).join(marks.where(chosen).limit(max_rows).hint("broadcast"), "doc_id")  # at most max_rows pairs of numbers
+    """Fit on documents joined with labels (doc_id, toxic 0 or 1); without both kinds: a model that scores 0.
+
+    Labels with a null id or mark are left out; of several marks of an id the largest counts.
+    At most max_rows labels are taken, by a hash of the id, so the tables' layout does not
+    matter. Of near copies of one label one row counts.
+    """
+    turn = F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxic"))
+    marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    share = min(1.0, 1.1 * max_rows / max(marks.count(), 1))
+    marks = marks.withColumn("turn", turn).where(F.pmod("turn", F.lit(1_000_000)) < int(share * 1_000_000)).orderBy("turn", "doc_id").limit(max_rows)
+    rows = written(id_text(docs).join(F.broadcast(marks), "doc_id"), "labelled")  # at most max_rows pairs of numbers are sent
 
     def words(batches):
         for b in batches:
             out, kin = [], []
-            for t in b.column(1).to_pylist():
+            for t in b.column(0).to_pylist():
                 buf = np.frombuffer(fold(t) + b" ", np.uint8)
                 s, e = spans(WORD_BYTE[buf])
                 raw = buf.tobytes()
                 h = hashes(buf, s, e)
-                kin.append(int(mix(h[2:] * np.uint64(3) + h[1:-1] * np.uint64(5) + h[:-2]).min() >> np.uint64(1)) if len(h) > 2 else None)
-                out.append(sorted({raw[x:y] for x, y in zip(s.tolist(), e.tolist(), strict=True) if y - x <= 24}))
-            yield pa.record_batch([b.column(2), pa.array(out, pa.list_(pa.binary())), pa.array(kin, pa.int64())], names=["toxic", "words", "kin"])
-
-    sets = rows.select("doc_id", "text", F.col("toxic").cast("int")).mapInArrow(words, "toxic int, words array<binary>, kin long")
-    # of near copies (the least hash of three words in a row is the same) one counts
-    sets = sets.dropDuplicates(["toxic", "kin"]).withColumn("row", F.monotonically_increasing_id())
-    sets = written(sets, "words")
-    per_class = sets.groupBy("toxic").count().collect()
-    n = {r["toxic"]: r["count"] for r in per_class}
+                runs = h[2:] * np.uint64(3) + h[1:-1] * np.uint64(5) + h[:-2] if len(h) > 2 else h
+                kin.append([int(mix(runs ^ np.uint64(seed)).min() >> np.uint64(1)) if len(runs) else 0 for seed in (1, 2, 3)] + [len(h) if len(h) < 3 else 3])
+                out.append(sorted({raw[x:y] for x, y in zip(s.tolist(), e.tolist(), strict=True)}))
+            yield pa.record_batch([b.column(1), b.column(2), pa.array(out, pa.list_(pa.binary())), pa.array(kin, pa.list_(pa.int64()))], names=["toxic", "turn", "words", "kin"])
+
+    sets = rows.select("text", "toxic", "turn").mapInArrow(words, "toxic int, turn long, words array<binary>, kin array<long>")
+    # near copies have the same least hashes of three words in a row, or are the same words where those are fewer
+    sets = sets.groupBy("toxic", "kin").agg(F.min_by("words", F.struct("turn", "words")).alias("words"))
+    sets = written(sets.withColumn("row", F.monotonically_increasing_id()), "words")
+    n = {r["toxic"]: r["count"] for r in sets.groupBy("toxic").count().collect()}
     if not n.get(0) or not n.get(1):
-        return Model([], np.zeros(0), -40.0, CharModel())
-    word = F.explode("words").alias("word")
-    flat = sets.select("row", "toxic", word)
+        no = np.zeros(0)
+        return Model([], no, no, (no.astype(np.uint64),) * 2, no, no, (0, 0), np.array([0.0, 0.0, -40.0]), CharModel())
+    flat = sets.select("row", "toxic", F.explode("words").alias("word"))
     starts = [flat.where(F.length("word") >= k).select("row", "toxic", F.concat(F.lit(b" "), F.substring("word", 1, k)).alias("word")).distinct() for k in BEGINNINGS]
     both = functools.reduce(DataFrame.unionByName, [flat, *starts])
-    tallies = both.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("all"))
-    # Log odds of at least 3, in at least 3 toxic rows, and more than chance gives among so many words: the rows'
-    # divergence from the share of toxic ones exceeds SURPRISE.
-    odds = F.log((F.col("bad") + 0.5) / (n[1] + 1)) - F.log((F.col("all") - F.col("bad") + 0.5) / (n[0] + 1))
-    base, good = n[1] / (n[0] + n[1]), F.col("all") - F.col("bad")
+    tallies = written(both.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("all")).where("all >= 3"), "tallies")
+    # Strong: in at least 3 toxic rows, and more than chance gives among so many words: the rows' divergence from the
+    # share of toxic ones exceeds SURPRISE.
+    good = F.col("all") - F.col("bad")
+    odds = F.log((F.col("bad") + 0.5) / (n[1] + 1)) - F.log((good + 0.5) / (n[0] + 1))
+    base = n[1] / (n[0] + n[1])
     diverges = F.col("bad") * F.log(F.col("bad") / (F.col("all") * base)) + F.when(good > 0, good * F.log(good / (F.col("all") * (1 - base)))).otherwise(0.0)
-    tallies = tallies.withColumn("odds", odds)
-    picked = tallies.where((F.col("bad") >= 3) & (odds >= 3) & (diverges >= SURPRISE)).orderBy(F.desc("bad"), "word").collect()
-    model = Model([bytes(r["word"]) for r in picked], np.zeros(len(picked)), 0.0, char_model(docs))
+    picked = tallies.where((F.col("bad") >= 3) & (odds >= LEAST_ODDS) & (diverges >= SURPRISE)).orderBy(F.desc("bad"), "word").collect()
+    known = tallies.where((F.col("all") >= KNOWN) & (F.substring("word", 1, 1) != F.lit(b" "))).orderBy("word").collect()
+    buf, at = joined([bytes(r["word"]) for r in known])
+    keys = hashes(buf, at[:-1], at[1:] - 1), first_eight(buf, at[:-1], at[1:] - 1)
+    count = lambda some, c: np.array([r[c] for r in some], float)
+    model = Model([bytes(r["word"]) for r in picked], count(picked, "bad"), count(picked, "all") - count(picked, "bad"), keys, count(known, "bad"), count(known, "all") - count(known, "bad"), (n[1], n[0]), np.zeros(3), char_model(docs))
     model.chars.learn([w.decode("utf-8", "ignore") for w in model.words])
 
     def numbers(batches):
         for b in batches:
-            texts = b.column(1).to_pylist()
-            got = [f for a, z in in_slices(texts) for f in features_of(texts[a:z], model)]
-            yield pa.record_batch([b.column(2), pa.array([np.unique(g) for g in got], pa.list_(pa.int64()))], names=["toxic", "at"])
-
-    got = rows.select("doc_id", "text", F.col("toxic").cast("int")).mapInArrow(numbers, "toxic int, at array<long>").groupBy("toxic", "at").count().orderBy("toxic", "at").toArrow()
-    y, at, times = (got[c].to_pylist() for c in ("toxic", "at", "count"))
-    odds = np.clip(np.array([r["odds"] for r in picked]), 3.0, 8.0)
-    x, y, times = np.array([odds[np.array(k, int)].sum() for k in at]), np.array(y, float), np.array(times, float)
-    x = np.minimum(x, 24.0)
-    scale, bias = 0.5, -3.0
-    for _ in range(2000):  # the summed log odds' own slope and offset, by gradient descent on the log loss
-        p = 1 / (1 + np.exp(-(x * scale + bias)))
-        g = (p - y) * times / times.sum()
-        scale, bias = float(np.clip(scale - 0.02 * (g * x).sum(), 0.2, 2.0)), bias - 0.2 * float(g.sum())
-    model.weights, model.bias = odds * scale, bias
+            got = model.figures(b.column(0).to_pylist(), b.column(1).to_pylist())
+            yield pa.record_batch([b.column(1), pa.array(got[:, 0]), pa.array(got[:, 1])], names=["toxic", "total", "mean"])
+
+    got = rows.select("text", "toxic").mapInArrow(numbers, "toxic int, total double, mean double").orderBy("toxic", "total", "mean").toArrow()  # at most max_rows and repeated rows
+    y, total, mean = (np.array(got[c].to_pylist(), float) for c in ("toxic", "total", "mean"))
+    model.weights = logistic(np.stack([total, mean, np.ones(len(y))], 1), y)
+    discard(rows)
     return model
 
 
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, rounds: int = 50) -> np.ndarray:
+    """Weights by Newton's method; a ridge on all but the last, the offset; weights of the figures are not negative."""
+    w = np.zeros(x.shape[1])
+    penalty = np.full(len(w), ridge)
+    penalty[-1] = 1e-6
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
+        slope = x.T @ (p - y) + penalty * w
+        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9)
+        w = w - np.clip(np.linalg.solve(bend, slope), -1.0, 1.0)
+    w[:-1] = np.maximum(w[:-1], 0.0)
+    return w
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every whole text; null and empty texts get what a text without any word of the model gets."""
+    """doc_id and score of every whole text; null and empty texts get what a text without any known word gets.
+
+    Null and repeated ids each have their row; an empty table has none.
+    """
 
     def run(batches):
         for b in batches:
@@ -351,13 +491,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """Learn from labels outside fold 1 of 3 and score all documents."""
+    """Learn from labels outside fold 1 of 3 and score all documents: doc_id, held_out (null for a null id), score, predicted."""
     model = train(docs, labels.where(crc_mod(3) != 1))
     return score(docs, model).select("doc_id", (crc_mod(3) == 1).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
-    """docs, all columns, without those that score threshold or more."""
+    """docs, all columns, without those that score threshold or more; null texts are scored as empty ones."""
     where = docs.columns.index("text")
 
     def run(batches):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, id_text, tasks_of, written
+from .common import NO_ID, discard, id_text, tasks_by_bytes, written
 from .huffman import in_order
 from .words import BASE, INVERSE, mix, powers
 
@@ -147,18 +147,18 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     """Per document its fingerprint, that of its edited text, and likenesses to that and to the next document.
 
     Next: in ascending (doc_id, text) order, after the last the first; null text: empty;
-    a null doc_id counts as the smallest long. A single document is its own next. Tables
+    a null doc_id comes first and stays null. A single document is its own next. Tables
     whose partitions hold disjoint ranges of ids are not shuffled, others by range.
     """
     spark = docs.sparkSession
-    docs = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63))))
+    docs = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     rows = written(_stretches(docs), "stretches")
     ends = lambda df: [(r.part, r.low, r.high) for r in df.where("kind <> 'done'").groupBy("part").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).collect()]  # noqa: E731  one row a task
     parts = ends(rows)
     order = in_order(parts)
     if order is None:
         discard(rows)
-        rows = written(_stretches(docs.repartitionByRange(tasks_of(docs), "doc_id", "text")), "stretches")
+        rows = written(_stretches(docs.repartitionByRange(tasks_by_bytes(docs), "doc_id", "text")), "stretches")
         order = [p[0] for p in sorted(ends(rows), key=lambda p: (p[1], p[2]))]
     following = spark.createDataFrame([(p, order[(k + 1) % len(order)]) for k, p in enumerate(order)], "part int, next_part int")
     tails = rows.where("kind = 'tail'").select("part", "doc_id", "text")
@@ -175,4 +175,4 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     names = [n for n, _ in FIELDS[2:9]]
     joined = tails.join(following, "part").join(heads, "next_part").select("doc_id", "text", "next_text")
     last = joined.mapInArrow(run, SCHEMA.split("kind string, ")[1].rsplit(", text", 1)[0])
-    return rows.where("kind = 'done'").select(names).unionByName(last)
+    return rows.where("kind = 'done'").select(names).unionByName(last).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
