@@ -2,8 +2,8 @@
 
 Each of CURVES orderings projects the vectors on its own mix of the principal axes (fitted
 on at most SAMPLE vectors), shifts and scales them to a grid, and numbers the cells along a
-Hilbert curve. An ordering is cut into ranges of about RANGE vectors; a query looks in its
-own range and in those up to a reach on both sides, and the orderings' findings are merged
+Hilbert curve. An ordering is cut into ranges of about RANGE vectors, or more where there would
+be over RANGES of them, so the list of cuts is bounded; a query looks in its own range and in those up to a reach on both sides, and the orderings' findings are merged
 and ranked by the exact inner product. The reach is the least that finds RECALL of the true
 neighbours of JUDGED queries, which are compared with every vector; so it grows as the table
 demands it, to the whole table if need be. Equal vectors are one entry with their smallest ids, so a very common
@@ -13,6 +13,8 @@ more coordinate, which brings every vector to the largest norm.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -22,7 +24,9 @@ from .common import written
 
 CURVES = 14
 DIMENSIONS, BITS = 10, 6
-RANGE = 2048
+RANGE, RANGES = 2048, 1 << 14
+#: Above this relative error of the matrix product a score decides; all that may be among the best are scored exactly.
+NEAR = 1e-9
 SAMPLE = 4096
 RECALL, JUDGED = 0.95, 128
 
@@ -80,7 +84,24 @@ class Curves:
 
 def inner(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Inner products in double precision, each summed alike wherever it stands."""
-    return np.array([float(np.add.reduce(q * row)) for row in x])
+    return np.add.reduce(x * q, axis=1)
+
+
+def matrix(column: pa.Array | pa.ChunkedArray, d: int) -> np.ndarray:
+    """Lists of d doubles as rows."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, d)
+
+
+def best_of(q: np.ndarray, c: np.ndarray, most: int) -> list[np.ndarray]:
+    """For each row of q the rows of c that may be among its most largest inner products, ties at the end included."""
+    near = q @ c.T
+    if len(c) <= most:
+        return [np.arange(len(c))] * len(q)
+    least = np.partition(near, len(c) - most, axis=1)[:, len(c) - most]
+    slack = NEAR * np.sqrt((q * q).sum(1) * (c * c).sum(1).max())
+    return [np.flatnonzero(row >= low) for row, low in zip(near, least - slack, strict=True)]
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -100,7 +121,7 @@ def true_pairs(entries: DataFrame, keys: DataFrame, d: int, k: int, judged: int
         for b in batches:
             if not b.num_rows or not len(q):
                 continue
-            entry, x = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.float64).reshape(-1, d)
+            entry, x = b.column(0).to_numpy(), matrix(b.column(1), d)
             score = np.where(asker[:, None] == entry, -np.inf, q @ x.T)
             most = min(k, len(entry))
             top = np.argpartition(-score, most - 1, axis=1)[:, :most].ravel()
@@ -126,17 +147,19 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, range_size: int =
     """query_id, rank, vec_id, score: for each row whose id is divisible by every, its k nearest found.
 
     Nearest is the largest inner product, ties go to the smaller id. Rows whose vector is
-    null, empty, zero or not finite take no part, nor do those of another length than most.
-    Repeated rows (equal id and vector) count once. With few vectors all are compared.
+    null, empty, zero or not finite take no part, nor do rows without an id; vectors are
+    compared with those of their own length. Repeated rows (equal id and vector) count once.
+    With few vectors all are compared. An empty table gives an empty one.
     """
-    spark = vectors.sparkSession
     rows = usable(vectors)
-    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if lengths is None:
-        return empty
-    d = lengths["d"]
-    rows = rows.where(F.size("v") == d).distinct()
+    lengths = [r[0] for r in rows.groupBy(F.size("v").alias("d")).count().orderBy("d").collect()]  # one row a length
+    found = [_nearest(rows.where(F.size("v") == d).distinct(), d, k, every, range_size, curves) for d in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _nearest(rows: DataFrame, d: int, k: int, every: int, range_size: int, curves: int) -> DataFrame:
     # an entry for each different vector: its k + 1 smallest ids are all that a result can hold
     first = rows.withColumn("at", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("at") <= k + 1)
     entries = first.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
@@ -144,61 +167,56 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, range_size: int =
     entries = entries.join(asks.select("v").distinct().withColumn("asked", F.lit(True)), "v", "left").select(F.col("ids")[0].alias("entry"), "ids", "v", F.coalesce("asked", F.lit(False)).alias("asked"))
     entries = written(entries, "entries")
     total, norm = entries.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()
-    if not total:
-        return empty
     share = min(1.0, 1.2 * SAMPLE / total)
-    sample = entries.where(F.pmod(F.xxhash64("entry"), F.lit(1_000_000)) < int(share * 1_000_000)).select("v").limit(SAMPLE).toArrow()["v"].to_pylist()
-    index = Curves(np.array(sample or [[1.0] * d]), float(norm), curves)
+    turn = F.xxhash64("entry")
+    sample = entries.where(F.pmod(turn, F.lit(1_000_000)) < int(share * 1_000_000) + 1).orderBy(turn, "entry").select("v").limit(SAMPLE).toArrow()
+    index = Curves(matrix(sample["v"], d) if len(sample) else np.ones((1, d)), float(norm), curves)
 
     def place(batches):
         for b in batches:
-            x = np.array(b.column(1).to_pylist(), np.float64).reshape(-1, d)
-            cols = index.keys(x) if len(x) else [np.empty(0, np.int64)] * curves
-            yield pa.record_batch([b.column(0), pa.array(np.array(cols).T.tolist(), pa.list_(pa.int64()))], names=["entry", "keys"])
+            x = matrix(b.column(1), d)
+            cols = np.array(index.keys(x) if len(x) else np.empty((curves, 0), np.int64))
+            yield pa.record_batch([b.column(0), pa.array(list(cols.T), pa.list_(pa.int64())), b.column(2)], names=["entry", "keys", "asked"])
 
-    keys = written(entries.select("entry", "v").mapInArrow(place, "entry long, keys array<long>"), "keys")
-    ranges = max(1, -(-total // range_size))
+    keys = written(entries.select("entry", "v", "asked").mapInArrow(place, "entry long, keys array<long>, asked boolean"), "keys")
+    ranges = min(RANGES, max(1, -(-total // range_size)))
     cuts = [i / ranges for i in range(1, ranges)]
     spots = keys.select(*(F.col("keys")[c].cast("double").alias(f"k{c}") for c in range(curves)))
     splits = spots.approxQuantile([f"k{c}" for c in range(curves)], cuts, 0.2 / ranges) if cuts else [[] for _ in range(curves)]
     splits = [np.unique(s) for s in splits]  # keys that many entries share make no empty ranges
-    reach = reach_of(true_pairs(entries, keys, d, k), splits) if cuts else 1
+    reach = reach_of(true_pairs(entries, keys.select("entry", "keys"), d, k), splits) if cuts else 1
 
     def ranged(batches):
         for b in batches:
-            entry, out = b.column(0).to_pylist(), ([], [], [], [])
-            grid = np.array(b.column(1).to_pylist(), np.float64).reshape(-1, curves)
-            asked = b.column(2).to_pylist()
+            if not b.num_rows:
+                continue
+            entry, asked = b.column(0).to_numpy(), np.flatnonzero(b.column(2).to_numpy(zero_copy_only=False))
+            grid = matrix(b.column(1), curves)
             for c in range(curves):
                 at = np.searchsorted(splits[c], grid[:, c], "right")
-                for e, r, q in zip(entry, at.tolist(), asked, strict=True):
-                    for role, spot in ((False, r), *(((True, s) for s in range(max(0, r - reach), min(len(splits[c]), r + reach) + 1)) if q else ())):
-                        for col, v in zip(out, (e, c, spot, role), strict=True):
-                            col.append(v)
-            yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.bool_())], names=["entry", "curve", "spot", "asks"])
+                low, high = np.maximum(at[asked] - reach, 0), np.minimum(at[asked] + reach, len(splits[c]))
+                many = high - low + 1
+                wide = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                whole = np.concatenate((entry, np.repeat(entry[asked], many)))
+                yield pa.record_batch([pa.array(whole), pa.array(np.full(len(whole), c, np.int32)), pa.array(np.concatenate((at, wide)).astype(np.int32)), pa.array(np.arange(len(whole)) >= len(entry))], names=["entry", "curve", "spot", "asks"])
 
-    dealt = keys.join(entries.select("entry", "asked"), "entry").mapInArrow(ranged, "entry long, curve int, spot int, asks boolean").join(entries.select("entry", "v"), "entry")
+    dealt = keys.mapInArrow(ranged, "entry long, curve int, spot int, asks boolean").join(entries.select("entry", "v"), "entry")
 
     def search(t: pa.Table) -> pa.Table:
-        asks_ = np.array(t.column("asks").to_pylist())
-        x = np.array(t.column("v").to_pylist(), np.float64).reshape(-1, d)
-        entry = t.column("entry").to_numpy()
+        asks_, x, entry = t.column("asks").to_numpy(), matrix(t.column("v"), d), t.column("entry").to_numpy()
         order = np.argsort(entry, kind="stable")
         asks_, x, entry = asks_[order], x[order], entry[order]
         q, qid, c, cid = x[asks_], entry[asks_], x[~asks_], entry[~asks_]
         out: tuple[list, list, list] = ([], [], [])
         for start in range(0, len(q) if len(c) else 0, 256):
-            near = q[start : start + 256] @ c.T
-            most = min(len(c), 2 * (k + 1))
-            best = np.argpartition(-near, most - 1, axis=1)[:, :most]
-            for i, some in enumerate(best):
-                some = np.sort(some)
-                score = inner(q[start + i], c[some])
+            for i, some in enumerate(best_of(q[start : start + 256], c, k + 1), start):
+                score = inner(q[i], c[some])
                 top = np.lexsort((cid[some], -score))[: k + 1]
-                out[0].extend([int(qid[start + i])] * len(top))
-                out[1].extend(cid[some][top].tolist())
-                out[2].extend(score[top].tolist())
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["asker", "entry", "score"])
+                out[0].append(np.full(len(top), qid[i]))
+                out[1].append(cid[some][top])
+                out[2].append(score[top])
+        cols = [pa.array(np.concatenate(o) if o else np.empty(0, kind)) for o, kind in zip(out, (np.int64, np.int64, np.float64), strict=True)]
+        return pa.table(cols, names=["asker", "entry", "score"])
 
     found = dealt.groupBy("curve", "spot").applyInArrow(search, "asker long, entry long, score double")
     found = found.groupBy("asker", "entry").agg(F.max("score").alias("score"))

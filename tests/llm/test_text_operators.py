@@ -493,6 +493,24 @@ def test_nearest(spark):
     assert [tuple(r) for r in few.collect()] == [(0, 1, 1, 0.5)]
 
 
+def test_ties_are_whole(spark):
+    """Quantised vectors: hundreds of equal inner products, of which the smaller ids win."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2, (700, 8)) * 2.0 - 1.0
+    x = np.hstack([x, np.eye(700)[:, :24] * 0])  # no entry for itself: vectors repeat as well
+    x[np.arange(700), 8 + np.arange(700) % 24] = 0.25 * (1 + np.arange(700) % 3)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(5000, [1.0, 2.0]), (5020, [2.0, 1.0])]
+    got = collections.defaultdict(list)
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 20, 20).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    for q in range(0, 700, 20):
+        s = neighbours.inner(x[q], x)
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(700), -s))[:20]
+        assert sorted(got[q]) == [(i + 1, int(v), float(s[v])) for i, v in enumerate(best)]
+    assert got[5000] == [(1, 5020, 4.0)] and got[5020] == [(1, 5000, 4.0)]
+
+
 def test_reach_grows_until_recall(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(3000, 24))
