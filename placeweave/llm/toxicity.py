@@ -38,7 +38,9 @@ SURPRISE, LEAST_ODDS = 16.0, 1.0
 #: Log odds of a word count up to here, and so do those of all strong words together: one sure word is enough.
 SURE = 8.0
 #: Entries of the decoder's memory, which is emptied when it is full.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
+#: Characters of texts that are worked on at once.
+SLICE = 500_000
 #: Labelled rows that must have a word, for its odds of either sign to count.
 KNOWN = 5
 #: Signs and the letters that they may stand for.
@@ -132,7 +134,7 @@ def char_model(docs: DataFrame) -> CharModel:
         total = collections.Counter()
         for b in batches:
             texts = b.column(0).to_pylist()
-            for low, high in in_slices(texts):
+            for low, high in in_slices(texts, SLICE):
                 raw = "\n".join(["", *texts[low:high], ""]).lower().encode("utf-32-le", "replace")
                 chars = np.minimum(np.frombuffer(raw, "<u4"), many - 1)
                 chars = np.where(letter[chars], chars, 0)
@@ -339,7 +341,7 @@ class Model:
         which = [None] if toxic is None else [0, 1]
         strong = {y: self.odds(self.bad, self.good, y) for y in which}
         weak = {y: self.odds(self.known_bad, self.known_good, y) for y in which}
-        for a, z in in_slices(texts):
+        for a, z in in_slices(texts, SLICE):
             (doc, feature), (doc_k, feature_k) = hits(texts[a:z], self)
             label = np.full(z - a, -1) if toxic is None else np.array(toxic[a:z])
             total, mean = np.zeros(z - a), np.zeros(z - a)
@@ -413,7 +415,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Mode
     rows = written(id_text(docs).join(F.broadcast(marks), "doc_id"), "labelled")  # at most max_rows pairs of numbers are sent
 
     def words(batches):
-        for b in batches:
+        for b in (b[low:high] for b in batches for low, high in in_slices(b.column(0).to_pylist(), SLICE)):
             out, kin = [], []
             for t in b.column(0).to_pylist():
                 buf = np.frombuffer(fold(t) + b" ", np.uint8)
