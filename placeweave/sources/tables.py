@@ -18,10 +18,12 @@ _OWN: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
+    """The folder that driver and executors share; only a session on one machine may name none, and gets a local one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise DataError("spark.checkpoint.dir must name a folder that driver and executors share")
     key = spark.sparkContext.applicationId
     if key not in _OWN:
         _OWN[key] = tempfile.mkdtemp(prefix="placeweave-")
