@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .config import AnchorConfig, GraphConfig, JobConfig, PairConfig, VisitConfig
 from .functions import text
-from .operators import assign, clean, community, edges, geo, keywords, pairs, regional, report, results, visits
+from .operators import assign, clean, community, edges, fusion, geo, keywords, pairs, regional, report, results, visits
 from .plans import jobs
 from .sources.tables import shared_table
 from .plans.planted import COORDS_SQL, EDGES_SQL, PAIRS_SQL, TX_SQL, VISITS_SQL, table, transactions, with_sql
@@ -648,6 +648,142 @@ def g16_local_update(spark, sf_dir):
     return regional.local_update(n, _edges(spark, sf_dir), _planted_partition(spark, sf_dir), n.where(F.col("node").startswith("m00")))
 
 
+KNOWN_SQL = "known AS (SELECT DISTINCT merchant_id, business_district AS community_id FROM tx WHERE business_district <> '')"
+
+
+@query("SELECT geo_cluster, community_id FROM (SELECT p.community_id AS geo_cluster, k.community_id, row_number() OVER (PARTITION BY p.community_id ORDER BY count(*) DESC, k.community_id) AS n FROM part p JOIN known k ON k.merchant_id = p.node GROUP BY 1, 2) WHERE n = 1", *PART, KNOWN_SQL)
+def a24_top_communities(spark, sf_dir):
+    known = clean.existing_districts(transactions(spark, sf_dir)).withColumnRenamed("merchant_id", "node")
+    return regional.top_communities(_planted_partition(spark, sf_dir).withColumnRenamed("community_id", "geo_cluster").join(known, "node"))
+
+
+@query(
+    """, st AS (SELECT community_id, count(*) AS merchants FROM part GROUP BY 1), inn AS (SELECT p.community_id, count(*) AS edges, sum(weight) AS weight FROM edges e JOIN part p ON p.node = e.l JOIN part q ON q.node = e.r AND q.community_id = p.community_id GROUP BY 1)
+    SELECT community_id, row_number() OVER (ORDER BY round(coalesce(weight, 0), 6) DESC, coalesce(edges, 0) DESC, merchants DESC, community_id) AS geo_cluster FROM st LEFT JOIN inn USING (community_id) WHERE merchants >= 4""",
+    *PART,
+)
+def w13_ranked_clusters(spark, sf_dir):
+    tx = visits.visit_counts(_visits(spark, sf_dir)).withColumnRenamed("visits", "transactions")
+    return regional.ranked_clusters(rounded(regional.community_stats(_edges(spark, sf_dir), _planted_partition(spark, sf_dir), tx), "weight"), 4)
+
+
+@query()
+def g21_reclustered(spark, sf_dir):
+    tx = visits.visit_counts(_visits(spark, sf_dir)).withColumnRenamed("visits", "transactions")
+    return regional.reclustered(_planted_partition(spark, sf_dir), clean.merchant_coordinates(transactions(spark, sf_dir)), _edges(spark, sf_dir), tx, 6000.0)
+
+
+@query("SELECT count(*) AS merchants, count(*) FILTER (x) AS covered, round(count(*) FILTER (x) / count(*), 6) AS ratio FROM (SELECT merchant_id, merchant_id IN (SELECT merchant_id FROM coords UNION ALL SELECT merchant_id FROM known) AS x FROM counts)", *BASE, COORDS_SQL, KNOWN_SQL)
+def a26_merchant_coverage(spark, sf_dir):
+    tx = transactions(spark, sf_dir)
+    return rounded(report.merchant_coverage(visits.visit_counts(_visits(spark, sf_dir)), clean.merchant_coordinates(tx), clean.existing_districts(tx)), "ratio")
+
+
+@query("SELECT (SELECT count(*) FROM tx) AS transactions, (SELECT count(*) FROM visits) AS visits, (SELECT count(*) FROM counts) AS merchants, (SELECT count(*) FROM edges) AS edges, (SELECT count(DISTINCT community_id) FROM part) AS communities, (SELECT max(n) FROM (SELECT count(*) AS n FROM part GROUP BY community_id)) AS largest", *PART)
+def a20_run_summary(spark, sf_dir):
+    return report.run_summary(transactions(spark, sf_dir), _visits(spark, sf_dir), _edges(spark, sf_dir), _planted_partition(spark, sf_dir))
+
+
+DEGREE_SQL = "SELECT '{0}' AS ranking, c.merchant_id, CAST(count(e.node) AS BIGINT) AS value FROM counts c LEFT JOIN (SELECT l AS node FROM {1} UNION ALL SELECT r FROM {1}) e ON e.node = c.merchant_id GROUP BY 2"
+RANKED_SQL = " UNION ALL ".join(DEGREE_SQL.format(a, b) for a, b in (("raw_degree", "pairs"), ("minimum_support_degree", "(SELECT * FROM pairs WHERE support >= 2)"), ("sppmi_candidate_degree", "candidates"), ("mutual_top_k_degree", "edges"), ("lost_edge_count_from_chain_removal", "(SELECT * FROM edges WHERE l LIKE 'hub%' OR r LIKE 'hub%')")))
+
+
+@query(f"""SELECT ranking, CAST(n AS INTEGER) AS "rank", merchant_id, value FROM (SELECT *, row_number() OVER (PARTITION BY ranking ORDER BY value DESC, merchant_id) AS n FROM (SELECT 'visit_count' AS ranking, merchant_id, CAST(visits AS BIGINT) AS value FROM counts UNION ALL {RANKED_SQL})) WHERE n <= 20""", *EDGES)
+def w14_rankings(spark, sf_dir):
+    counts = visits.visit_counts(_visits(spark, sf_dir))
+    c = _candidates(spark, sf_dir).withColumn("weight", F.round("weight", 9))
+    return report.rankings(_pairs(spark, sf_dir), c, edges.mutual_top_k(c, GRAPH.top_k), counts, counts.where("merchant_id LIKE 'hub%'"), 2, 20)
+
+
+# -- scores against communities ------------------------------------------------------
+
+SCORES_SQL = f"""
+st AS (SELECT node, other, weight FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(weight, 9) DESC, other) AS n FROM (SELECT l AS node, r AS other, weight FROM edges UNION ALL SELECT r, l, weight FROM edges)) WHERE n <= 3),
+gs AS (SELECT node, community_id, v / t AS graph FROM (SELECT *, sum(v) OVER (PARTITION BY node) AS t FROM (SELECT st.node, k.community_id, sum(weight * CASE WHEN k.merchant_id IS NULL THEN 1 ELSE 1.5 END) AS v FROM st LEFT JOIN known k ON k.merchant_id = st.other GROUP BY 1, 2)) WHERE community_id IS NOT NULL AND t > 0),
+pl AS (SELECT c.*, k.community_id FROM coords c JOIN known k USING (merchant_id)),
+gaps AS (SELECT a.community_id, quantile_cont({HAVERSINE_SQL}, 0.5) AS gap FROM pl a JOIN pl b ON a.community_id = b.community_id AND a.merchant_id < b.merchant_id GROUP BY 1),
+sg AS (SELECT community_id, greatest(coalesce(gap, 10.0), 10.0) AS sigma FROM (SELECT DISTINCT community_id FROM pl) LEFT JOIN gaps USING (community_id)),
+ds AS (SELECT a.merchant_id AS node, b.community_id, min({HAVERSINE_SQL}) AS d FROM coords a JOIN pl b ON a.merchant_id <> b.merchant_id AND {HAVERSINE_SQL} <= 6000 GROUP BY 1, 2),
+ps AS (SELECT node, community_id, exp(-d * d / (2 * sigma * sigma)) AS geo FROM ds JOIN sg USING (community_id)),
+sn AS (SELECT DISTINCT merchant_id AS node, card_id FROM visits),
+ko AS (SELECT DISTINCT community_id, card_id FROM sn JOIN known ON merchant_id = node),
+cs AS (SELECT node, community_id, n / CAST(a + b - n AS DOUBLE) AS customers FROM (SELECT node, community_id, count(*) AS n FROM sn JOIN ko USING (card_id) GROUP BY 1, 2) JOIN (SELECT node, count(*) AS a FROM sn GROUP BY 1) USING (node) JOIN (SELECT community_id, count(*) AS b FROM ko GROUP BY 1) USING (community_id)),
+fz AS (SELECT node, community_id, coalesce(graph, 0) AS graph, coalesce(geo, 0) AS geo, coalesce(customers, 0) AS customers FROM gs FULL JOIN ps USING (node, community_id) FULL JOIN cs USING (node, community_id)),
+fu AS (SELECT *, CASE WHEN node IN (SELECT merchant_id FROM coords) THEN 0.6 * graph + 0.3 * geo + 0.1 * customers ELSE (0.6 * graph + 0.1 * customers) / 0.7 END AS score FROM fz)"""
+SCORES = (*EDGES, COORDS_SQL, KNOWN_SQL, SCORES_SQL)
+
+
+def _fused(spark, sf_dir):
+    tx = transactions(spark, sf_dir)
+    known, coords = clean.existing_districts(tx), clean.merchant_coordinates(tx)
+    g = fusion.graph_scores(_edges(spark, sf_dir), known, known, 3)
+    return shared_table(fusion.fused(g, fusion.geo_scores(coords, known, 6000.0, 10.0), fusion.customer_scores(_visits(spark, sf_dir), known), coords), "scores")
+
+
+@query("SELECT node, community_id, round(graph, 6) AS graph FROM gs", *SCORES)
+def n2_graph_scores(spark, sf_dir):
+    known = clean.existing_districts(transactions(spark, sf_dir))
+    return rounded(fusion.graph_scores(_edges(spark, sf_dir), known, known, 3), "graph")
+
+
+@query("SELECT node, community_id, round(geo, 6) AS geo FROM ps", *SCORES)
+def n3_geo_scores(spark, sf_dir):
+    tx = transactions(spark, sf_dir)
+    return rounded(fusion.geo_scores(clean.merchant_coordinates(tx), clean.existing_districts(tx), 6000.0, 10.0), "geo")
+
+
+@query("SELECT node, community_id, round(customers, 6) AS customers FROM cs", *SCORES)
+def n4_customer_scores(spark, sf_dir):
+    return rounded(fusion.customer_scores(_visits(spark, sf_dir), clean.existing_districts(transactions(spark, sf_dir))), "customers")
+
+
+@query(
+    """, dr AS (SELECT node, community_id, round(score, 9) AS score, round(graph, 9) AS graph, round(geo, 9) AS geo, row_number() OVER (PARTITION BY node ORDER BY round(score, 9) DESC, community_id) AS n FROM fu),
+    tp AS (SELECT node, max(community_id) FILTER (n = 1) AS community_id, max(score) AS score, coalesce(max(score) FILTER (n = 2), 0) AS second, first(community_id ORDER BY graph DESC, community_id) AS bg, first(community_id ORDER BY geo DESC, community_id) AS bp, least(max(graph), max(geo)) AS least_top FROM dr GROUP BY 1)
+    SELECT node, community_id, round(score, 6) AS score, round(second, 6) AS second, CASE WHEN (bg <> bp AND least_top > 0) OR (score >= 0.4 AND round(score - second, 9) < 0.3) THEN 'review' WHEN score >= 0.4 THEN 'assign' ELSE 'watch' END AS decision FROM tp""",
+    *SCORES,
+)
+def n5_decisions(spark, sf_dir):
+    return rounded(fusion.decisions(_fused(spark, sf_dir), 0.4, 0.3), "score", "second")
+
+
+@query("SELECT merchant_id, community_id, round(score, 6) AS score FROM (SELECT k.*, coalesce(score, 0) AS score FROM known k LEFT JOIN fu ON fu.node = k.merchant_id AND fu.community_id = k.community_id) WHERE round(score, 9) < 0.5", *SCORES)
+def n8_doubtful_members(spark, sf_dir):
+    return rounded(fusion.doubtful_members(_fused(spark, sf_dir), clean.existing_districts(transactions(spark, sf_dir)), 0.5), "score")
+
+
+@query("SELECT node AS merchant_id, round(sum(weight * longitude) / sum(weight), 6) AS longitude, round(sum(weight * latitude) / sum(weight), 6) AS latitude FROM st JOIN coords c ON c.merchant_id = st.other WHERE node NOT IN (SELECT merchant_id FROM coords) GROUP BY 1", *SCORES)
+def n9_inferred_coordinates(spark, sf_dir):
+    return rounded(fusion.inferred_coordinates(_edges(spark, sf_dir), clean.merchant_coordinates(transactions(spark, sf_dir)), 3), "longitude", "latitude")
+
+
+@query(
+    """, pd AS (SELECT merchant_id AS node, CAST("timestamp" AS DATE) AS d, CAST(count(*) AS DOUBLE) AS s FROM visits GROUP BY 1, 2),
+    ms AS (SELECT node, sum(s) / n AS mean, sqrt(greatest(sum(s * s) / n - pow(sum(s) / n, 2), 0)) AS dev FROM pd, (SELECT count(DISTINCT d) AS n FROM pd) GROUP BY node, n),
+    pt AS (SELECT node, 1 - sum(share * share) AS participation FROM sh GROUP BY 1)
+    SELECT node, round(mean, 6) AS mean, round(mean / (1 + dev), 6) AS stability, round(mean * (1 - participation) * mean / (1 + dev) * CASE WHEN node IN (SELECT merchant_id FROM coords) THEN 1.5 ELSE 1 END, 6) AS anchor_score FROM ms JOIN pt USING (node)""",
+    *PART,
+    COORDS_SQL,
+)
+def n10_stable_anchor_scores(spark, sf_dir):
+    scores = _visits(spark, sf_dir).groupBy(F.col("merchant_id").alias("node"), F.to_date("timestamp").alias("period")).agg(F.count("*").cast("double").alias("score"))
+    part = community.participation(community.shares(_edges(spark, sf_dir), _planted_partition(spark, sf_dir)))
+    return rounded(fusion.stable_anchor_scores(scores, part, clean.merchant_coordinates(transactions(spark, sf_dir))), "mean", "stability", "anchor_score")
+
+
+@query(
+    f""", hm AS (SELECT card_id, first(region ORDER BY n DESC, region) AS home FROM (SELECT card_id, region, count(*) AS n FROM tx GROUP BY 1, 2) GROUP BY 1),
+    en AS (SELECT merchant_id, -sum(p * ln(p)) AS region_entropy FROM (SELECT merchant_id, n / sum(n) OVER (PARTITION BY merchant_id) AS p FROM (SELECT merchant_id, home, CAST(count(*) AS DOUBLE) AS n FROM tx JOIN hm USING (card_id) GROUP BY 1, 2)) GROUP BY 1),
+    lg AS (SELECT merchant_id, "timestamp", longitude, latitude, lag(merchant_id) OVER w AS m0, lag("timestamp") OVER w AS t0, lag(longitude) OVER w AS x0, lag(latitude) OVER w AS y0 FROM tx WINDOW w AS (PARTITION BY card_id ORDER BY "timestamp", merchant_id)),
+    st AS (SELECT merchant_id, m0, (epoch_us("timestamp") - epoch_us(t0)) / 1e6 AS s, {HAVERSINE_SQL.replace("b.", "").replace("a.longitude", "x0").replace("a.latitude", "y0")} AS d FROM lg WHERE m0 IS NOT NULL),
+    ht AS (SELECT m, count(*) AS hits FROM (SELECT unnest([merchant_id, m0]) AS m FROM st WHERE s <= 259200 AND d > 0.0005 * s) GROUP BY 1)
+    SELECT merchant_id, round(region_entropy, 6) AS region_entropy, round(night, 6) AS night_share, round(coalesce(hits, 0) / n, 6) AS impossible_share FROM (SELECT merchant_id, count(*) AS n, avg(CASE WHEN hour("timestamp") < 6 THEN 1.0 ELSE 0.0 END) AS night FROM tx GROUP BY 1) JOIN en USING (merchant_id) LEFT JOIN ht ON ht.m = merchant_id""",
+    TX_SQL,
+)
+def n1_online_features(spark, sf_dir):
+    return rounded(fusion.online_features(transactions(spark, sf_dir), 4320.0, 0.0005), "region_entropy", "night_share", "impossible_share")
+
+
 # -- keywords ------------------------------------------------------------------------
 
 

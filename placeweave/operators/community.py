@@ -2,7 +2,8 @@
 
 Graph: nodes (node) and edges (l < r, weight, support). Communities are found inside each
 connected component in one task; separate components never share a community, so this is
-exact as long as the whole graph's weight is used.
+exact as long as the whole graph's weight is used. Components that no task can hold are first
+made smaller by distributed local moves for the same modularity, whose groups become nodes.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from . import geo, kernels
 from .edges import without_nodes
 from .pairs import both_ways
 
-#: A component with more edges is split by label propagation instead, which needs no single task.
+#: A component with more edges is first contracted by distributed local moves, until one task can hold it.
 MAX_KERNEL_EDGES = 2_000_000
 
 
@@ -74,7 +75,9 @@ def _kernel(total: float, gamma: float, seed: int, refine: bool):
         names = np.unique(np.concatenate([pdf["l"].to_numpy(object), pdf["r"].to_numpy(object)]))
         at = {x: i for i, x in enumerate(names)}
         l, r = pdf["l"].map(at).to_numpy(np.int64), pdf["r"].map(at).to_numpy(np.int64)
-        label = kernels.communities(len(names), l, r, pdf["weight"].to_numpy(float), gamma, total, seed, refine)
+        w, loop = pdf["weight"].to_numpy(float), l == r
+        own = np.bincount(l[loop], w[loop], len(names))
+        label = kernels.communities(len(names), l[~loop], r[~loop], w[~loop], gamma, total, seed, refine, own)
         return pd.DataFrame({"node": names, "grp": [names[i] for i in _first_of(label)]})
 
     return run
@@ -90,28 +93,85 @@ def detect(nodes: DataFrame, edges: DataFrame, resolution: float = 1.0, seed: in
     """node, community_id: communities of connected nodes; nodes without edges are their own."""
     labels = component_labels(nodes, edges)
     total = edges.agg(F.sum("weight")).first()[0] or 0.0
-    tagged = edges.select("l", "r", "weight").join(labels.toDF("l", "component"), "l")
-    small = tagged
-    big = [r[0] for r in tagged.groupBy("component").count().where(F.col("count") > MAX_KERNEL_EDGES).select("component").limit(1000).collect()]
-    groups = []
-    if big:
-        small = tagged.where(~F.col("component").isin(big))
-        groups.append(_propagated(tagged.where(F.col("component").isin(big)).drop("component")))
-    groups.append(small.groupBy("component").applyInPandas(lambda pdf: _kernel(total, resolution, seed, refine)(pdf.drop(columns="component")), "node string, grp string"))
-    found = groups[0] if len(groups) == 1 else groups[0].unionByName(groups[1])
+    tagged = edges.select("l", "r", "weight").join(labels.toDF("l", "component"), "l").select("component", "l", "r", "weight")
+    large = tagged.groupBy("component").count().where(F.col("count") > MAX_KERNEL_EDGES).select("component")
+    inside = None
+    if not large.isEmpty():
+        inside, coarse = contracted(tagged.join(large, "component", "left_semi"), total, resolution, seed)
+        tagged = tagged.join(large, "component", "left_anti").unionByName(coarse)
+    kernel = _kernel(total, resolution, seed, refine)
+    found = tagged.groupBy("component").applyInPandas(lambda pdf: kernel(pdf.drop(columns="component")), "node string, grp string")
+    if inside is not None:
+        low = inside.toDF("node", "super").join(found.toDF("super", "grp"), "super", "left")
+        spread = low.select("node", F.coalesce("grp", "super").alias("grp"))
+        found = found.join(spread.select("node"), "node", "left_anti").unionByName(spread)
     alone = nodes.select("node").join(both_ways(edges).select("node").distinct(), "node", "left_anti")
     every = shared_table(found.unionByName(alone.select("node", F.col("node").alias("grp"))), "groups")
     return shared_table(renumbered(every, "grp"), "partition")
 
 
-def _propagated(edges: DataFrame, rounds: int = 12) -> DataFrame:
-    """Weighted label propagation for a component that no one task can hold."""
-    near = both_ways(edges, "weight")
-    labels = near.select("node", F.col("node").alias("grp")).distinct()
-    for _ in range(rounds):
-        votes = near.join(labels.toDF("other", "grp"), "other").groupBy("node", "grp").agg(F.sum("weight").alias("w"))
-        labels = shared_table(votes.groupBy("node").agg(F.min_by("grp", F.struct((-F.col("w")).alias("w"), "grp")).alias("grp")), "votes")
-    return labels
+def contracted(tagged: DataFrame, total: float, gamma: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(node, grp) and the graph of the groups (component, l, r, weight; l = r: weight inside).
+
+    Levels of local moves and contraction go on while a component has more edges than the kernel
+    holds and groups still merge. Groups are named by a member; they need not be connected inside.
+    """
+    graph, inside = tagged, None
+    while True:
+        groups = _local_moves(graph, total, gamma, seed)
+        inside = groups if inside is None else inside.toDF("node", "mid").join(groups.toDF("mid", "grp"), "mid").select("node", "grp")
+        inside = shared_table(inside, "inside")
+        ends = graph.join(groups.toDF("l", "gl"), "l").join(groups.toDF("r", "gr"), "r")
+        merged = ends.groupBy("component", F.least("gl", "gr").alias("l"), F.greatest("gl", "gr").alias("r")).agg(F.sum("weight").alias("weight"))
+        merged = shared_table(merged, "contracted")
+        same = groups.where("node <> grp").isEmpty()
+        graph = merged
+        if same or merged.groupBy("component").count().where(F.col("count") > MAX_KERNEL_EDGES).isEmpty():
+            return inside, graph
+
+
+def _local_moves(graph: DataFrame, total: float, gamma: float, seed: int, least: float = 1e-4, patience: int = 4) -> DataFrame:
+    """node, grp: rounds in which half of the nodes, drawn by hash, go to the neighbouring group of largest gain.
+
+    Ends when modularity has not risen by least for patience rounds, with the best round's groups.
+    Of two single nodes only the larger name moves to the smaller, so that they don't swap.
+    """
+    m2 = 2.0 * total
+    near = shared_table(both_ways(graph.where("l <> r"), "weight").select("node", "other", "weight"), "near")
+    loops = graph.where("l = r").select(F.col("l").alias("node"), (2 * F.col("weight")).alias("own"))
+    degree = near.groupBy("node").agg(F.sum("weight").alias("w")).join(loops, "node", "full")
+    degree = shared_table(degree.select("node", F.coalesce("own", F.lit(0.0)).alias("own"), (F.coalesce("w", F.lit(0.0)) + F.coalesce("own", F.lit(0.0))).alias("k")), "degrees")
+    now = degree.select("node", F.col("node").alias("grp"))
+    best, top, idle, turn = now, -1.0, 0, 0
+    while True:
+        state = now.join(degree, "node")
+        mass = state.groupBy("grp").agg(F.sum("k").alias("mass"), F.count("*").alias("size"))
+        votes = near.join(now.toDF("other", "to"), "other").select("node", "to", "weight").unionByName(now.select("node", F.col("grp").alias("to"), F.lit(0.0).alias("weight")))
+        votes = votes.groupBy("node", "to").agg(F.sum("weight").alias("w")).join(state, "node")
+        votes = votes.join(mass.toDF("to", "mass", "size"), "to").join(mass.select("grp", F.col("size").alias("own_size")), "grp")
+        here = F.col("to") == F.col("grp")
+        gain = F.col("w") - gamma * F.col("k") * (F.col("mass") - F.when(here, F.col("k")).otherwise(0.0)) / m2
+        open_ = here | (F.col("size") > 1) | (F.col("own_size") > 1) | (F.col("to") < F.col("grp"))
+        x = votes.withColumn("gain", gain).where(open_).groupBy("node", "grp").agg(
+            F.max(F.when(here, F.col("gain"))).alias("stay"),
+            F.max("gain").alias("top"),
+            F.max_by("to", F.struct("gain", "to")).alias("to"),
+            F.max(F.when(here, F.col("w") + F.col("own"))).alias("inner"),
+            F.max("k").alias("k"),
+        )
+        may = F.pmod(F.xxhash64("node", F.lit(seed), F.lit(turn)), F.lit(2)) == 0
+        x = shared_table(x.withColumn("next", F.when(may & (F.col("top") > F.col("stay") + 1e-12), F.col("to")).otherwise(F.col("grp"))), "moves")
+        sums = x.groupBy("grp").agg(F.sum("inner").alias("inner"), F.sum("k").alias("k")).agg(F.sum("inner"), F.sum(F.col("k") * F.col("k"))).first()
+        value = sums[0] / m2 - gamma * sums[1] / m2**2
+        if value > top + least:
+            idle = 0
+        else:
+            idle += 1
+        if value > top:
+            best, top = x.select("node", "grp"), value
+        if idle >= patience:
+            return best
+        now, turn = x.select("node", F.col("next").alias("grp")), turn + 1
 
 
 def shares(edges: DataFrame, partition: DataFrame) -> DataFrame:

@@ -89,14 +89,14 @@ def _merged(g: Graph, label: np.ndarray) -> tuple[Graph, np.ndarray]:
     return Graph(n, key // n, key % n, np.bincount(at, w[a != b], len(key)) if len(key) else np.zeros(0), own), inv
 
 
-def communities(n: int, l: np.ndarray, r: np.ndarray, w: np.ndarray, gamma: float = 1.0, total: float | None = None, seed: int = 42, refine: bool = True) -> np.ndarray:
+def communities(n: int, l: np.ndarray, r: np.ndarray, w: np.ndarray, gamma: float = 1.0, total: float | None = None, seed: int = 42, refine: bool = True, own: np.ndarray | None = None) -> np.ndarray:
     """Group of each node: modularity with resolution gamma; refine: with the refinement that keeps groups connected.
 
-    total: the whole graph's weight, where this is one of its components.
+    total: the whole graph's weight, where this is one of its components; own: weights inside the nodes.
     """
     if not len(l):
         return np.arange(n)
-    g, m2 = Graph(n, l, r, w), 2.0 * (float(w.sum()) if total is None else total)
+    g, m2 = Graph(n, l, r, w, own), 2.0 * (float(w.sum()) if total is None else total)
     rng = np.random.default_rng(seed)
     node_of = np.arange(n)  # group of the current graph that each first node is in
     label = np.arange(n)

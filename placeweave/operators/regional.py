@@ -182,3 +182,26 @@ def status_cascade(rows: DataFrame) -> DataFrame:
     given = F.when(~F.coalesce("input_status", F.lit("")).isin("", "1"), F.col("input_status"))
     return rows.withColumn("abnormal", F.coalesce(given, F.when(F.col("inactive"), "6"), F.when(F.col("online"), "2"), F.when(F.col("isolated"), "3"), F.lit("1")))
 
+
+
+def top_communities(assignment: DataFrame) -> DataFrame:
+    """geo_cluster, community_id: the community most members of the cluster have, ties to the smaller id; null ids don't count."""
+    n = assignment.where("community_id IS NOT NULL").groupBy("geo_cluster", "community_id").agg(F.count("*").alias("n"))
+    return n.groupBy("geo_cluster").agg(F.min_by("community_id", F.struct(-F.col("n"), F.col("community_id"))).alias("community_id"))
+
+
+def ranked_clusters(stats: DataFrame, least: int = 3) -> DataFrame:
+    """community_id, geo_cluster: 1, 2, ... by weight, edges and merchants, largest first, then id; clusters of fewer than least merchants go."""
+    order = [F.desc("weight"), F.desc("edges"), F.desc("merchants"), F.asc("community_id")]
+    ranked = numbered(stats.where(F.col("merchants") >= least), order, "_number")
+    return ranked.select("community_id", (F.col("_number") + 1).alias("geo_cluster"))
+
+
+def reclustered(partition: DataFrame, coords: DataFrame, edges: DataFrame, transactions: DataFrame, merge_m: float = 1500.0, most_m: float = 2500.0, least: int = 3) -> DataFrame:
+    """node, geo_cluster: communities trimmed to places near their centre, near centres merged, trimmed again and numbered."""
+    placed = partition.join(coords.withColumnRenamed("merchant_id", "node"), "node")
+    first = shared_table(trimmed(placed, most_m), "trimmed")
+    merged = merged_centres(centres(first.select("node", "community_id"), coords), merge_m)
+    joined = first.join(merged, "community_id").select("node", "longitude", "latitude", F.col("geo_cluster").alias("community_id"))
+    kept = shared_table(trimmed(joined, most_m), "clusters").select("node", "community_id")
+    return kept.join(ranked_clusters(community_stats(edges, kept, transactions), least), "community_id").select("node", "geo_cluster")

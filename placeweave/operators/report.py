@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import DataError
@@ -132,3 +132,40 @@ def funnel(counts: list[tuple[str, int]]) -> list[dict]:
 
 def largest_loss(steps: list[dict]) -> dict | None:
     return max(steps[1:], key=lambda s: s["reduction_pct"], default=None)
+
+
+def rankings(pairs: DataFrame, cands: DataFrame, sparse: DataFrame, counts: DataFrame, chains: DataFrame, min_support: int, count: int = 50) -> DataFrame:
+    """ranking, rank, merchant_id, value: the count first merchants of six metrics, ties by name.
+
+    Visits; degrees among raw, supported, candidate and sparse pairs; sparse pairs lost when chains go.
+    All merchants with visits are ranked, without pairs as 0.
+    """
+    gone = chains.select("merchant_id").distinct()
+    cut = sparse.join(gone.toDF("l").withColumn("_l", F.lit(True)), "l", "left").join(gone.toDF("r").withColumn("_r", F.lit(True)), "r", "left").where("_l OR _r")
+    sources = {"raw_degree": pairs, "minimum_support_degree": pairs.where(F.col("support") >= min_support), "sppmi_candidate_degree": cands, "mutual_top_k_degree": sparse, "lost_edge_count_from_chain_removal": cut}
+    out = counts.select(F.lit("visit_count").alias("ranking"), "merchant_id", F.col("visits").cast("long").alias("value"))
+    for name, p in sources.items():
+        degree = both_ways(p).groupBy(F.col("node").alias("merchant_id")).agg(F.count("*").alias("n"))
+        out = out.unionByName(counts.select("merchant_id").join(degree, "merchant_id", "left").select(F.lit(name).alias("ranking"), "merchant_id", F.coalesce("n", F.lit(0)).cast("long").alias("value")))
+    order = Window.partitionBy("ranking").orderBy(F.desc("value"), "merchant_id")
+    return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count).select("ranking", "rank", "merchant_id", "value")
+
+
+def merchant_coverage(merchants: DataFrame, *placed: DataFrame) -> DataFrame:
+    """One row: merchants, covered (in any of the placed tables) and their ratio, 0 without merchants."""
+    names = None
+    for p in placed:
+        names = p.select("merchant_id") if names is None else names.unionByName(p.select("merchant_id"))
+    every = merchants.select("merchant_id").distinct().join(names.distinct().withColumn("_in", F.lit(True)), "merchant_id", "left")
+    sums = every.agg(F.count("*").alias("merchants"), F.count_if(F.col("_in")).alias("covered"))
+    return sums.withColumn("ratio", F.when(F.col("merchants") == 0, 0.0).otherwise(F.col("covered") / F.col("merchants")))
+
+
+def run_summary(transactions: DataFrame, visits: DataFrame, edges: DataFrame, partition: DataFrame) -> DataFrame:
+    """One row of a run's counts: transactions, visits, merchants, edges, communities and the largest one."""
+    sizes = partition.groupBy("community_id").agg(F.count("*").alias("n"))
+    rows = [transactions.agg(F.count("*").alias("transactions")), visits.agg(F.count("*").alias("visits"), F.count_distinct("merchant_id").alias("merchants")), edges.agg(F.count("*").alias("edges")), sizes.agg(F.count("*").alias("communities"), F.coalesce(F.max("n"), F.lit(0)).alias("largest"))]
+    out = rows[0]
+    for r in rows[1:]:  # one row each
+        out = out.crossJoin(F.broadcast(r))
+    return out
