@@ -134,7 +134,7 @@ def online_features(tx: DataFrame, minutes: float = 10.0, metres_per_second: flo
 
     Entropy (natural) of the merchant's transactions over the cards' home regions, a card's most frequent
     region, ties to the smallest; share from 0 to 6 o'clock; consecutive transactions of a card within
-    the minutes whose places nobody reaches in time, by the merchant's transactions.
+    the minutes whose places nobody reaches in time, by the merchant's transactions (one may be in two pairs, so up to 2).
     """
     home = tx.groupBy("card_id", "region").agg(F.count("*").alias("n")).groupBy("card_id").agg(F.min_by("region", F.struct(-F.col("n"), F.col("region"))).alias("home"))
     of = tx.select("card_id", "merchant_id").join(home, "card_id").groupBy("merchant_id", "home").agg(F.count("*").alias("n"))
