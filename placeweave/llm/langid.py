@@ -7,6 +7,7 @@ MAX_TRAIN labelled rows, chosen by a hash of their ids; prediction reads whole t
 
 from __future__ import annotations
 
+import collections
 import functools
 from dataclasses import dataclass
 
@@ -127,6 +128,12 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """A column of lists as views of one array, without a Python object for each number."""
+    whole = column.combine_chunks()
+    return np.split(whole.flatten().to_numpy(), np.cumsum(whole.value_lengths().to_numpy())[:-1])
+
+
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", max_rows: int = MAX_TRAIN) -> Model:
     """Fit on rows with a non-null label and a letter in the text; no such rows: a model that says und.
 
@@ -156,23 +163,28 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
             yield pa.record_batch([pa.array(at, pa.list_(pa.int16())), pa.array(n, pa.list_(pa.int32())), pa.array(label, pa.string()), pa.array(turns, pa.int64())], names=["at", "n", "label", "turn"])
 
     got = rows.select("text", "label", "turn").mapInArrow(features, "at array<short>, n array<int>, label string, turn long").orderBy("turn", "label").limit(max_rows).toArrow()
-    at = [np.array(x, np.int64) for x in got["at"].to_pylist()]
-    n = [np.array(x, np.float64) for x in got["n"].to_pylist()]
     labels = got["label"].to_pylist()
     classes = sorted(set(labels))
     if not classes:
         return Model([], np.zeros(FEATURES), np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
+    at, n = (lists(got[c]) for c in ("at", "n"))
     y = np.array([classes.index(x) for x in labels])
-    order = sorted(range(len(y)), key=lambda i: (labels[i], at[i].tobytes(), n[i].tobytes()))
-    at, n, y = [at[i] for i in order], [n[i] for i in order], y[order]
+    alike = collections.Counter(key := [(x, k.tobytes()) for x, k in zip(labels, at, strict=True)])
+    order = sorted(range(len(y)), key=lambda i: (*key[i], n[i].astype(np.float64).tobytes() if alike[key[i]] > 1 else b""))
+    del key, alike
+    y = y[order]
     seen = np.zeros(FEATURES)
     for k in at:
         seen[k] += 1
     idf = np.log((1 + len(at)) / (1 + seen)) + 1
-    rows = []
-    for k, c in zip(at, n, strict=True):
-        x = np.log1p(c) * idf[k]
-        rows.append((np.append(k, FEATURES), np.append(x / np.sqrt((x * x).sum()), 1.0)))
+    ends = np.cumsum([len(at[i]) + 1 for i in order])  # each row and its bias; all rows in one array, which goes as a whole
+    which, values = np.full(ends[-1], FEATURES, np.int16), np.ones(ends[-1])
+    rows = [(which[z - len(at[i]) - 1 : z], values[z - len(at[i]) - 1 : z]) for i, z in zip(order, ends.tolist(), strict=True)]
+    for i, (k, x) in zip(order, rows, strict=True):
+        k[:-1] = at[i]
+        x[:-1] = np.log1p(n[i].astype(np.float64)) * idf[at[i]]
+        x[:-1] /= np.sqrt((x[:-1] * x[:-1]).sum())
+    del at, n, got
     kept = np.arange(len(rows)) % 5 != 4
     w, bias = ftrl([r for r, f in zip(rows, kept, strict=True) if f], y[kept], len(classes))
     logits = np.array([x[:-1] @ w[k[:-1]] + bias for (k, x), f in zip(rows, kept, strict=True) if not f]).reshape(-1, len(classes))

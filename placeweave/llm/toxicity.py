@@ -155,8 +155,8 @@ def char_model(docs: DataFrame) -> CharModel:
         cols = [pa.array([t[i] for t in total], pa.int32()) for i in range(3)]
         yield pa.record_batch([*cols, pa.array(list(total.values()), pa.int64())], names=["a", "b", "c", "n"])
 
-    rows = id_text(docs).select("text").mapInArrow(run, "a int, b int, c int, n long").groupBy("a", "b", "c").agg(F.sum("n")).collect()
-    return CharModel({(chr(x) if x else "^") + chr(y) + (chr(w) if w else "$"): n for x, y, w, n in rows})
+    rows = id_text(docs).select("text").mapInArrow(run, "a int, b int, c int, n long").groupBy("a", "b", "c").agg(F.sum("n")).toArrow()
+    return CharModel({(chr(x) if x else "^") + chr(y) + (chr(w) if w else "$"): n for x, y, w, n in zip(*(c.to_pylist() for c in rows.columns), strict=True)})
 
 
 def restore(token: str, model: CharModel) -> str:
@@ -445,12 +445,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Mode
     odds = F.log((F.col("bad") + 0.5) / (n[1] + 1)) - F.log((good + 0.5) / (n[0] + 1))
     base = n[1] / (n[0] + n[1])
     diverges = F.col("bad") * F.log(F.col("bad") / (F.col("all") * base)) + F.when(good > 0, good * F.log(good / (F.col("all") * (1 - base)))).otherwise(0.0)
-    picked = tallies.where((F.col("bad") >= 3) & (odds >= LEAST_ODDS) & (diverges >= SURPRISE)).orderBy(F.desc("bad"), "word").collect()
-    known = tallies.where((F.col("all") >= KNOWN) & (F.substring("word", 1, 1) != F.lit(b" "))).orderBy("word").collect()
-    buf, at = joined([bytes(r["word"]) for r in known])
+    picked = tallies.where((F.col("bad") >= 3) & (odds >= LEAST_ODDS) & (diverges >= SURPRISE)).orderBy(F.desc("bad"), "word").toArrow()
+    known = tallies.where((F.col("all") >= KNOWN) & (F.substring("word", 1, 1) != F.lit(b" "))).orderBy("word").toArrow()
+    buf, at = joined(known["word"].to_pylist())
     keys = hashes(buf, at[:-1], at[1:] - 1), first_eight(buf, at[:-1], at[1:] - 1)
-    count = lambda some, c: np.array([r[c] for r in some], float)
-    model = Model([bytes(r["word"]) for r in picked], count(picked, "bad"), count(picked, "all") - count(picked, "bad"), keys, count(known, "bad"), count(known, "all") - count(known, "bad"), (n[1], n[0]), np.zeros(3), char_model(docs))
+    count = lambda some, c: some[c].to_numpy().astype(float)
+    model = Model(picked["word"].to_pylist(), count(picked, "bad"), count(picked, "all") - count(picked, "bad"), keys, count(known, "bad"), count(known, "all") - count(known, "bad"), (n[1], n[0]), np.zeros(3), char_model(docs))
     model.chars.learn([w.decode("utf-8", "ignore") for w in model.words])
 
     def numbers(batches):

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -525,3 +526,35 @@ def test_reach_grows_until_recall(spark):
         hit += len(got[q] & set(np.argsort(-s)[:20].tolist()))
     assert hit / (20 * 150) >= 0.9
     assert neighbours.reach_of([([0.0], [9.0]), ([0.0], [5.0])], [np.arange(1.0, 10.0)]) == 9
+
+
+def test_language_training_holds_no_object_a_number(spark):
+    rng = np.random.default_rng(5)
+    letters = np.array([chr(c) for c in range(0x100, 0x800) if chr(c).isalpha()])
+    texts = ["".join(rng.choice(letters, 1200)) for _ in range(300)]
+    numbers = sum(np.count_nonzero(langid.ngram_counts(t)) for t in texts)
+    docs = spark.createDataFrame([(i, t, "ab"[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    tracemalloc.start()
+    try:
+        langid.train(docs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 32 * numbers
+
+
+def test_toxicity_training_collects_no_tables_as_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [prose(rng, 25) + (" moron" if i % 3 == 0 else "") for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)], "doc_id long, toxic int")
+    sizes, collect = [], type(docs).collect
+
+    def counted(df):
+        rows = collect(df)
+        sizes.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    model = toxicity.train(docs, labels)
+    assert b"moron" in model.words and model.chars.counts and max(sizes) <= 2  # rows of either label
